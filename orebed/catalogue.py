@@ -1,0 +1,103 @@
+"""The registered queries over the driver tables and their SQL checks."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from orebed.fixtures import documents, view, with_views
+from orebed.functions import scalar
+from orebed.operators import cities, counts, layout
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    """Register a query and, where SQL can express it, its check."""
+
+    def register(function):
+        QUERIES[name] = function
+        if sql is not None:
+            ORACLES[name] = sql
+        return function
+
+    return register
+
+
+# ---- review analytics
+
+_TOP = "SELECT {key}, count(*) AS n FROM reviews GROUP BY {key} ORDER BY n DESC, {key} LIMIT 10"
+
+
+def _top_text(key: str) -> str:
+    return (
+        f"(SELECT string_agg(concat({key}, ':', n), ',' ORDER BY n DESC, {key}) FROM "
+        f"({_TOP.format(key=key)}) AS t)"
+    )
+
+
+@query(
+    "review_summary",
+    with_views("reviews")
+    + f"""SELECT count(*) AS n_review,
+        count(*) FILTER (WHERE year(date) = 1998) AS n_review_year,
+        count(DISTINCT user_id) AS n_user, count(DISTINCT business_id) AS n_business,
+        {_top_text('user_id')} AS top_user, {_top_text('business_id')} AS top_business
+        FROM reviews""",
+)
+def review_summary(spark, sf_dir):
+    summary = counts.review_summary(view(spark, sf_dir, "reviews"), year=1998)
+
+    def text(column, key):
+        pairs = F.transform(column, lambda x: F.concat(x[key], F.lit(":"), x["n"]))
+        return F.array_join(pairs, ",").alias(column)
+
+    return summary.select(
+        "n_review",
+        "n_review_year",
+        "n_user",
+        "n_business",
+        text("top_user", "user_id"),
+        text("top_business", "business_id"),
+    )
+
+
+@query("top_users", with_views("reviews") + _TOP.format(key="user_id"))
+def top_users(spark, sf_dir):
+    return counts.top_k(view(spark, sf_dir, "reviews"), "user_id")
+
+
+@query("top_businesses", with_views("reviews") + _TOP.format(key="business_id"))
+def top_businesses(spark, sf_dir):
+    return counts.top_k(view(spark, sf_dir, "reviews"), "business_id")
+
+
+@query("clustered_top_businesses", ORACLES["top_businesses"])
+def clustered_top_businesses(spark, sf_dir):
+    keys = view(spark, sf_dir, "reviews").select("business_id", "review_id")
+    return counts.top_k(layout.cluster_by(keys, "business_id", 10), "business_id")
+
+
+@query("partition_profile")
+def partition_profile(spark, sf_dir):
+    keys = view(spark, sf_dir, "reviews").select("business_id")
+    return layout.partition_profile(layout.cluster_by(keys, "business_id", 10, False), 10)
+
+
+_CITY = """SELECT city, round(avg(r.stars), 6) AS stars
+    FROM business AS b JOIN reviews AS r ON b.business_id = r.business_id GROUP BY city"""
+
+
+@query("city_mean_stars", with_views("reviews", "business") + _CITY)
+def city_mean_stars(spark, sf_dir):
+    means = cities.city_mean_stars(view(spark, sf_dir, "business"), view(spark, sf_dir, "reviews"))
+    return means.select("city", F.round("stars", 6).alias("stars"))
+
+
+@query("top_cities", with_views("reviews", "business") + _CITY + " ORDER BY stars DESC, city LIMIT 10")
+def top_cities(spark, sf_dir):
+    means = city_mean_stars(spark, sf_dir)
+    return cities.sorted_cities(means).limit(10)

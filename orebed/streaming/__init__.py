@@ -1,0 +1 @@
+"""Deliberately empty: the operator inventory has no streaming operators."""
