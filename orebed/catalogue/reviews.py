@@ -1,34 +1,13 @@
-"""The registered queries over the driver tables and their SQL checks."""
+"""Review analytics."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orebed.fixtures import documents, view, with_views
-from orebed.functions import scalar
+from orebed.catalogue.registry import ORACLES, query, rounded
+from orebed.fixtures import view, with_views
 from orebed.operators import cities, counts, layout
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None):
-    """Register a query and, where SQL can express it, its check."""
-
-    def register(function):
-        QUERIES[name] = function
-        if sql is not None:
-            ORACLES[name] = sql
-        return function
-
-    return register
-
-
-# ---- review analytics
-
 _TOP = "SELECT {key}, count(*) AS n FROM reviews GROUP BY {key} ORDER BY n DESC, {key} LIMIT 10"
 
 
@@ -94,7 +73,7 @@ _CITY = """SELECT city, round(avg(r.stars), 6) AS stars
 @query("city_mean_stars", with_views("reviews", "business") + _CITY)
 def city_mean_stars(spark, sf_dir):
     means = cities.city_mean_stars(view(spark, sf_dir, "business"), view(spark, sf_dir, "reviews"))
-    return means.select("city", F.round("stars", 6).alias("stars"))
+    return rounded(means, "stars")
 
 
 @query("top_cities", with_views("reviews", "business") + _CITY + " ORDER BY stars DESC, city LIMIT 10")

@@ -68,10 +68,12 @@ def review_summary(
     )
 
 
-def rmse(df: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:
-    """Root mean squared error as a one-row table."""
+def rmse(
+    df: DataFrame, prediction: str = "prediction", label: str = "label", *keys: str
+) -> DataFrame:
+    """Root mean squared error, one row or one per key."""
     error = F.col(prediction) - F.col(label)
-    return df.agg(F.sqrt(F.avg(error * error)).alias("rmse"))
+    return df.groupBy(*keys).agg(F.sqrt(F.avg(error * error)).alias("rmse"))
 
 
 def mean_by(df: DataFrame, keys: Sequence[str], **columns: str) -> DataFrame:
