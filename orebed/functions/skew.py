@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PARTS = 1000
@@ -12,21 +12,26 @@ MIN_ROWS = 10_000
 
 
 def heavy_keys(
-    df: DataFrame, keys: Sequence[str], parts: int = PARTS, min_rows: int = MIN_ROWS
+    df: DataFrame,
+    keys: Sequence[str],
+    parts: int = PARTS,
+    min_rows: int = MIN_ROWS,
+    pairs: bool = False,
 ) -> DataFrame:
-    """Keys holding more rows than an even share of ``1/parts`` of the table.
+    """Keys that make more than ``1/parts`` of the work, with at least
+    ``min_rows`` rows: ``keys..., n_rows, splits``.
 
-    Returns ``keys..., n_rows, splits``; cutting a key into ``splits`` pieces
-    brings each piece down to the share. There are fewer than ``parts`` such
-    keys whatever the table's size, so the result may be broadcast.
+    The work of a key is its rows, or its rows squared when its rows are to
+    be ``pairs``. Cutting a key into ``splits`` pieces brings each piece down
+    to the share. There are fewer than ``parts`` such keys whatever the
+    table's size, so the result may be broadcast.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
-    share = counts.agg(
-        F.greatest(F.ceil(F.sum("n_rows") / F.lit(parts)), F.lit(min_rows))
-    ).scalar()
-    return counts.where(F.col("n_rows") > share).withColumn(
-        "splits", F.ceil(F.col("n_rows") / share).cast("int")
-    )
+    rows = F.col("n_rows").cast("double")
+    work = rows * rows if pairs else rows
+    least = float(min_rows) ** (2 if pairs else 1)
+    share = counts.agg(F.greatest(F.sum(work) / F.lit(parts), F.lit(least))).scalar()
+    return counts.where(work > share).withColumn("splits", F.ceil(work / share).cast("int"))
 
 
 def salted(
@@ -59,20 +64,25 @@ def join_within(
     right: DataFrame,
     keys: Sequence[str],
     spread_by: Sequence[str],
-    condition,
-    heavy: DataFrame | None = None,
+    condition: Column,
+    splits: Column | None = None,
 ) -> DataFrame:
-    """Inner join on ``keys`` plus ``condition`` with heavy keys split.
+    """Inner join, as ``a`` and ``b``, on ``keys`` and ``condition`` with
+    heavy keys split.
 
-    Heavy keys are looked for on the left side unless given. The rows of a
-    heavy key are spread over ``splits`` tasks on the left and copied to
-    those tasks on the right; all other keys are joined as usual.
+    The rows of a key are spread over ``splits`` tasks on the left and copied
+    to those tasks on the right. ``splits`` is an expression of the key known
+    to both sides; without one the heavy keys are counted on the left.
     """
-    if heavy is None:
-        heavy = heavy_keys(left, keys)
-    a = salted(left, heavy, keys, spread_by).alias("a")
-    b = replicated(right, heavy, keys).alias("b")
-    on = F.lit(True)
+    if splits is None:
+        heavy = heavy_keys(left, keys, pairs=True)
+        left, right = salted(left, heavy, keys, spread_by), replicated(right, heavy, keys)
+    else:
+        salt = F.pmod(F.xxhash64(*spread_by), splits).cast("int")
+        left = left.withColumn("salt", salt)
+        every = F.sequence(F.lit(0), splits.cast("int") - 1)
+        right = right.withColumn("salt", F.explode(every))
+    on = condition
     for key in [*keys, "salt"]:
         on = on & (F.col(f"a.{key}") == F.col(f"b.{key}"))
-    return a.join(b, on & condition)
+    return left.alias("a").join(right.alias("b"), on)
