@@ -37,8 +37,8 @@ def basket_key(date: Column, customer: Column) -> Column:
 
 
 def words(text: Column) -> Column:
-    """Distinct lower-case words of a text."""
-    return F.array_distinct(F.split(F.lower(text), "\\s+"))
+    """Lower-case words of a text, in order."""
+    return F.split(F.lower(text), "\\s+")
 
 
 def jaccard(shared: Column, size_a: Column, size_b: Column) -> Column:

@@ -1,9 +1,11 @@
 """Baskets, frequent itemsets by levels, and two-phase mining by chunks.
 
-A level is held as occurrences ``(chunk, basket, prefix, last)``: the basket
-contains the frequent itemset ``prefix + last``. Two occurrences of one basket
-that share their prefix make an occurrence one item longer, so every level is
-an equi-join followed by a count per itemset that combines before its shuffle.
+A level is held as occurrences ``(chunk, basket, parent, last, id)``: the
+basket contains the frequent itemset ``id``, which is the itemset ``parent``
+of the level before plus the item ``last``. Two occurrences of one basket with
+the same parent make an occurrence one item longer, so every level is an
+equi-join on numbers followed by a count per itemset that combines before its
+shuffle. The items of an itemset are kept in the level's own, smaller table.
 Only the loop over levels runs on the driver.
 """
 
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from orebed.functions import scalar
-from orebed.functions.skew import join_within
+from orebed.functions.skew import MIN_ROWS, join_within
 from orebed.session import stage
 
 # Baskets with more frequent items than this are left out of pair making,
@@ -25,7 +27,7 @@ from orebed.session import stage
 HEAVY_BASKET = 5_000
 MOST_HEAVY = 1_000
 
-_SET = ["chunk", "prefix", "last"]
+_SET = ["chunk", "parent", "last"]
 
 
 def baskets(tx: DataFrame, date: str, customer: str, item: str) -> DataFrame:
@@ -66,10 +68,7 @@ def frequent_itemsets(
     A basket counts once however often it repeats an item. ``within`` limits
     the search to given itemsets, which must hold all subsets of each.
     """
-    rows = b.select(
-        F.lit(0).alias("chunk"), F.col(basket).alias("basket"), F.col(item).alias("item")
-    )
-    occurrences = rows.distinct()
+    occurrences = _occurrences(b, F.lit(0), basket, item)
     need = b.sparkSession.range(1).select(
         F.lit(0).alias("chunk"), F.lit(support).cast("long").alias("need")
     )
@@ -79,7 +78,7 @@ def frequent_itemsets(
         singles = singles.join(
             first.select(F.col("itemset")[0].alias("item")), "item", "left_semi"
         )
-    levels = _levels(occurrences, stage(singles), need, within, heavy_basket)
+    levels = _levels(occurrences, singles, need, within, heavy_basket)
     return levels.select("itemset", F.size("itemset").alias("size"), "freq")
 
 
@@ -100,25 +99,18 @@ def son_candidates(
     """
     if chunk is None:
         chunk = F.pmod(F.xxhash64(basket), F.lit(chunks))
-    rows = b.select(
-        chunk.cast("int").alias("chunk"),
-        F.col(basket).alias("basket"),
-        F.col(item).alias("item"),
+    occurrences = _occurrences(b, chunk, basket, item)
+    # One row per chunk.
+    per_chunk = stage(_count(occurrences.select("chunk", "basket").distinct(), "chunk"))
+    total = per_chunk.agg(F.sum("freq")).scalar()
+    shares = per_chunk.select(
+        "chunk", (F.col("freq") * F.lit(support)).alias("share"), total.alias("total")
     )
-    per_chunk = rows.groupBy("chunk", "basket").agg(F.lit(1)).groupBy("chunk").agg(
-        F.count(F.lit(1)).alias("m")
+    need = shares.select(
+        "chunk", F.expr("greatest(1, (share + total - 1) div total)").alias("need")
     )
-    per_chunk = stage(per_chunk)
-    total = per_chunk.agg(F.sum("m")).scalar()
-    need = per_chunk.select(
-        "chunk",
-        F.expr("1").cast("long").alias("one"),
-        (F.col("m") * F.lit(support)).alias("share"),
-        total.alias("total"),
-    ).select("chunk", F.expr("greatest(one, (share + total - 1) div total)").alias("need"))
-    need = stage(need)
-    singles = _at_least(_count(rows, "chunk", "item"), need)
-    levels = _levels(rows.distinct(), stage(singles), need, None, heavy_basket)
+    every = occurrences.groupBy("chunk", "item").agg(F.sum("times").alias("freq"))
+    levels = _levels(occurrences, _at_least(every, need), need, None, heavy_basket)
     return levels.select("itemset").distinct().select("itemset", F.size("itemset").alias("size"))
 
 
@@ -131,6 +123,7 @@ def son(
     chunk: Column | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Both phases: the candidates of the chunks, and those frequent overall."""
+    b = stage(b.select(basket, item))
     candidates = stage(son_candidates(b, support, chunks, basket, item, chunk))
     return candidates, frequent_itemsets(b, support, basket, item, within=candidates)
 
@@ -142,12 +135,7 @@ def gen_candidates(sets: DataFrame, prune: bool = True) -> DataFrame:
     of every two sets that differ in one item.
     """
     if prune:
-        tails = sets.select(
-            F.lit(0).alias("chunk"),
-            F.slice("itemset", 1, F.size("itemset") - 1).alias("prefix"),
-            F.element_at("itemset", -1).alias("last"),
-        )
-        return _candidates(tails).select(_itemset())
+        return _candidates(sets.select(F.lit(0).alias("chunk"), "itemset")).select("itemset")
     # Two sets differ in one item when they agree after leaving one item out.
     parts = sets.select(
         F.expr(
@@ -201,6 +189,14 @@ def frequent_itemsets_fpgrowth(
     )
 
 
+def _occurrences(b: DataFrame, chunk: Column, basket: str, item: str) -> DataFrame:
+    """Distinct rows of chunk, basket and item, with how often each occurs."""
+    rows = b.select(
+        chunk.cast("int").alias("chunk"), F.col(basket).alias("basket"), F.col(item).alias("item")
+    )
+    return stage(rows.groupBy("chunk", "basket", "item").agg(F.count(F.lit(1)).alias("times")))
+
+
 def _count(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("freq"))
 
@@ -209,10 +205,6 @@ def _at_least(counted: DataFrame, need: DataFrame) -> DataFrame:
     return counted.join(need, "chunk").where(F.col("freq") >= F.col("need")).drop("need")
 
 
-def _itemset() -> Column:
-    return F.concat("prefix", F.array("last")).alias("itemset")
-
-
 def _levels(
     occurrences: DataFrame,
     singles: DataFrame,
@@ -222,11 +214,15 @@ def _levels(
 ) -> DataFrame:
     """All frequent itemsets per chunk: ``chunk, itemset, freq``.
 
-    ``occurrences`` are distinct rows of chunk, basket, item; ``singles`` the
-    frequent items per chunk; ``need`` the count each chunk asks for.
+    ``occurrences`` are staged, distinct rows of chunk, basket, item;
+    ``singles`` the frequent items per chunk; ``need`` the count each chunk
+    asks for.
     """
-    item_type = occurrences.schema["item"].dataType.simpleString()
-    occurrences = stage(occurrences.join(singles, ["chunk", "item"], "left_semi"))
+    number = F.monotonically_increasing_id().alias("id")
+    level = stage(singles.select("chunk", "item", F.array("item").alias("itemset"), "freq", number))
+    occurrences = stage(
+        occurrences.join(level.select("chunk", "item", "id"), ["chunk", "item"])
+    )
     heavy = stage(_heavy_baskets(occurrences, need, heavy_basket))
     split = not heavy.isEmpty()
     light, need_light = occurrences, need
@@ -238,41 +234,45 @@ def _levels(
             "chunk", (F.col("need") - F.coalesce("freq", F.lit(0))).alias("need")
         )
 
-    tails = light.select(
-        "chunk",
-        "basket",
-        F.array().cast(f"array<{item_type}>").alias("prefix"),
-        F.col("item").alias("last"),
-    )
-    found = []
-    size, allowed = 2, None
-    if within is not None:
-        allowed = _of_size(within, 2)
+    nothing = F.lit(0).cast("long").alias("parent")
+    tails = light.select("chunk", "basket", nothing, F.col("item").alias("last"), "id")
+    found = [level.select("chunk", "itemset", "freq")]
+    longer, size = None, 2
     while True:
+        allowed = None
+        if within is not None:
+            allowed = within.where(F.size("itemset") == size).withColumn("chunk", F.lit(0))
+        elif size > 2:
+            allowed = _candidates(level)
+        if allowed is not None:
+            allowed = stage(_by_parent(allowed, level))
+            if allowed.isEmpty():
+                break
+        if longer is not None:
+            tails = stage(longer.join(level.select(*_SET, "id"), _SET))
         longer = _grow(tails)
         if allowed is not None:
             longer = longer.join(allowed, _SET, "left_semi")
-        level = stage(_at_least(_count(longer, *_SET), need_light))
+        parents = level.select("chunk", F.col("id").alias("parent"), F.col("itemset").alias("head"))
+        itemset = F.concat("head", F.array("last")).alias("itemset")
+        level = stage(
+            _at_least(_count(longer, *_SET), need_light)
+            .join(parents, ["chunk", "parent"])
+            .select(*_SET, itemset, "freq", number)
+        )
         if level.isEmpty():
             break
-        found.append(level.select("chunk", _itemset(), "freq"))
+        found.append(level.select("chunk", "itemset", "freq"))
         size += 1
-        allowed = _of_size(within, size) if within is not None else _candidates(level)
-        allowed = stage(allowed)
-        if allowed.isEmpty():
-            break
-        tails = stage(longer.join(level, _SET, "left_semi"))
 
-    sets = singles.select("chunk", F.array("item").alias("itemset"), "freq")
-    if found:
-        larger = reduce(DataFrame.unionByName, found)
-        if split:
-            in_heavy = occurrences.join(heavy, ["chunk", "basket"], "left_semi")
-            more = _contained(larger.select("chunk", "itemset"), in_heavy)
-            both = larger.unionByName(more).groupBy("chunk", "itemset")
-            larger = _at_least(both.agg(F.sum("freq").alias("freq")), need)
-        sets = sets.unionByName(larger.select("chunk", "itemset", "freq"))
-    return sets
+    singles, larger = found[0], found[1:]
+    if split and larger:
+        counted = reduce(DataFrame.unionByName, larger)
+        in_heavy = occurrences.join(heavy, ["chunk", "basket"], "left_semi")
+        more = _contained(counted.select("chunk", "itemset"), in_heavy)
+        both = counted.unionByName(more).groupBy("chunk", "itemset")
+        larger = [_at_least(both.agg(F.sum("freq").alias("freq")), need)]
+    return reduce(DataFrame.unionByName, [singles, *larger])
 
 
 def _heavy_baskets(occurrences: DataFrame, need: DataFrame, heavy_basket: int) -> DataFrame:
@@ -292,69 +292,73 @@ def _heavy_baskets(occurrences: DataFrame, need: DataFrame, heavy_basket: int) -
 
 
 def _grow(tails: DataFrame) -> DataFrame:
-    """Join the occurrences of a basket that share their prefix."""
-    left = tails.withColumnRenamed("last", "lower")
-    right = tails.withColumnRenamed("last", "upper")
+    """Join the occurrences of a basket that share their parent."""
+    left = tails.select("chunk", "basket", "parent", F.col("last").alias("lower"), "id")
+    right = tails.select("chunk", "basket", "parent", F.col("last").alias("upper"))
     return (
-        left.join(right, ["chunk", "basket", "prefix"])
+        left.join(right, ["chunk", "basket", "parent"])
         .where(F.col("lower") < F.col("upper"))
-        .select(
-            "chunk",
-            "basket",
-            F.concat("prefix", F.array("lower")).alias("prefix"),
-            F.col("upper").alias("last"),
-        )
+        .select("chunk", "basket", F.col("id").alias("parent"), F.col("upper").alias("last"))
     )
 
 
-def _of_size(sets: DataFrame, size: int) -> DataFrame:
-    return sets.where(F.size("itemset") == size).select(
-        F.lit(0).alias("chunk"),
-        F.slice("itemset", 1, size - 1).alias("prefix"),
-        F.element_at("itemset", -1).alias("last"),
+def _by_parent(sets: DataFrame, level: DataFrame) -> DataFrame:
+    """Itemsets as the number of all but their last item, and that item."""
+    head = F.slice("itemset", 1, F.size("itemset") - 1)
+    parents = level.select("chunk", F.col("itemset").alias("head"), F.col("id").alias("parent"))
+    return (
+        sets.select("chunk", head.alias("head"), F.element_at("itemset", -1).alias("last"))
+        .join(parents, ["chunk", "head"])
+        .select(*_SET)
     )
 
 
 def _candidates(level: DataFrame) -> DataFrame:
-    """Prefix join of the itemsets of one size; all their subsets must be there."""
-    level = level.select(*_SET)
-    pairs = join_within(
-        level, level, ["chunk", "prefix"], ["last"], F.col("a.last") < F.col("b.last")
-    ).select(
-        F.col("a.chunk").alias("chunk"),
-        F.concat("a.prefix", F.array("a.last")).alias("prefix"),
-        F.col("b.last").alias("last"),
+    """Itemsets one longer whose subsets are all in the level: ``chunk, itemset``."""
+    # In a level of few sets no group of sets alike but for the last item is heavy.
+    few = level.limit(MIN_ROWS).count() < MIN_ROWS
+    sets = level.select(
+        "chunk",
+        F.slice("itemset", 1, F.size("itemset") - 1).alias("head"),
+        F.element_at("itemset", -1).alias("last"),
     )
-    # The two sets joined are there; left are those lacking an earlier item.
-    others = F.size("prefix") - 1
-    subsets = pairs.select(
-        *_SET,
-        F.explode_outer(
-            F.when(others > 0, F.sequence(F.lit(1), others))
-        ).alias("gap"),
+    ordered = F.col("a.last") < F.col("b.last")
+    splits = F.lit(1) if few else None
+    pairs = join_within(sets, sets, ["chunk", "head"], ["last"], ordered, splits).select(
+        "a.chunk", F.concat("a.head", F.array("a.last", "b.last")).alias("itemset")
     )
-    known = level.select("chunk", F.col("prefix").alias("shorter"), "last", F.lit(1).alias("hit"))
-    shorter = F.concat(
-        F.slice("prefix", F.lit(1), F.col("gap") - 1),
-        F.slice("prefix", F.col("gap") + 1, F.size("prefix")),
+    # The two sets joined are in the level; left are those lacking an earlier item.
+    others = F.size("itemset") - 2
+    lacking = F.concat(
+        F.slice("itemset", F.lit(1), F.col("gap") - 1),
+        F.slice("itemset", F.col("gap") + 1, F.size("itemset")),
     )
+    every = F.when(others > 0, F.sequence(F.lit(1), others))
     return (
-        subsets.withColumn("shorter", shorter)
-        .join(known, ["chunk", "shorter", "last"], "left")
-        .groupBy(*_SET)
+        pairs.select("chunk", "itemset", F.explode_outer(every).alias("gap"))
+        .withColumn("subset", lacking)
+        .join(
+            level.select("chunk", F.col("itemset").alias("subset"), F.lit(1).alias("hit")),
+            ["chunk", "subset"],
+            "left",
+        )
+        .groupBy("chunk", "itemset")
         .agg(F.count("hit").alias("hits"))
         .where(F.col("hits") == others)
-        .select(*_SET)
+        .select("chunk", "itemset")
     )
 
 
 def _contained(sets: DataFrame, occurrences: DataFrame) -> DataFrame:
     """Baskets of the same chunk that hold each set: ``chunk, itemset, freq``."""
-    by_item = sets.select("chunk", "itemset", F.explode("itemset").alias("item"))
+    sets = stage(sets.withColumn("id", F.monotonically_increasing_id()))
+    by_item = sets.select(
+        "chunk", "id", F.size("itemset").alias("size"), F.explode("itemset").alias("item")
+    )
     held = (
-        by_item.join(occurrences, ["chunk", "item"])
-        .groupBy("chunk", "itemset", "basket")
+        by_item.join(occurrences.select("chunk", "basket", "item"), ["chunk", "item"])
+        .groupBy("id", "size", "basket")
         .agg(F.count(F.lit(1)).alias("hits"))
-        .where(F.col("hits") == F.size("itemset"))
+        .where(F.col("hits") == F.col("size"))
     )
-    return _count(held, "chunk", "itemset")
+    return _count(held, "id").join(sets, "id").select("chunk", "itemset", "freq")
