@@ -125,11 +125,20 @@ def similarity_job(
     bands: int = 64,
     rows: int = 3,
     seed: int = SEED,
+    copies_path: str | None = None,
 ) -> DataFrame:
-    """Businesses rated by similar sets of users, as CSV in the order of ids."""
+    """Businesses rated by similar sets of users, as CSV in the order of ids.
+
+    With ``copies_path`` businesses with equal sets of users appear in the
+    pairs by the first of them only, and the others are listed there.
+    """
     ratings = readers.read_ratings(spark, in_path)
     sets = similarity.char_sets(ratings, "business_id", "user_id")
-    pairs = similarity.similar_pairs(sets, threshold, bands, rows, seed)
+    pairs, members = similarity.similar_groups(sets, threshold, bands, rows, seed)
+    if copies_path is None:
+        pairs = similarity.list_pairs(pairs, members, threshold)
+    else:
+        writers.write_csv(members.select("set_id", "first_id"), copies_path)
     ordered = similarity.sorted_pairs(stage(pairs)).toDF(*PAIR_COLUMNS)
     writers.write_csv(ordered, out_path)
     return ordered

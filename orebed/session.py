@@ -36,17 +36,15 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local-mode session may fall back to a folder of its own.
     """
-    configured = spark.conf.get(CHECKPOINT_DIR, None)
-    if configured:
-        return configured
     context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current is None:
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
+    if folder is None:
         if not context.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="orebed-"))
-        current = context.getCheckpointDir()
-    return current
+        folder = tempfile.mkdtemp(prefix="orebed-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return folder
 
 
 def stage(df: DataFrame) -> DataFrame:

@@ -84,6 +84,14 @@ def test_similarity(spark, tmp_path):
     assert lines(tmp_path / "o") == [
         "business_id_1,business_id_2,similarity", "a,b,0.6666666666666666",
     ]
+    rows = [(u, b) for b in "abc" for u in ("u1", "u2")]
+    text = "user_id,business_id,stars\n" + "".join(f"{u},{b},1.0\n" for u, b in rows)
+    (tmp_path / "s.csv").write_text(text)
+    outputs = [str(tmp_path / name) for name in ("p", "q")]
+    source = str(tmp_path / "s.csv")
+    assert jobs.similarity_job(spark, source, outputs[0]).count() == 3
+    assert jobs.similarity_job(spark, source, outputs[1], copies_path=str(tmp_path / "c")).count() == 0
+    assert sorted(lines(tmp_path / "c"))[:3] == ["a,a", "b,a", "c,a"]
 
 
 def test_cf(spark, folder, tmp_path):
