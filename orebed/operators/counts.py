@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orebed.session import stage
+
 
 def count_by(df: DataFrame, *keys: str, name: str = "n") -> DataFrame:
     """Rows per key, not distinct; combined before the shuffle."""
@@ -40,14 +42,14 @@ def review_summary(
 ) -> DataFrame:
     """One row: n_review, n_review_year, n_user, top_user, n_business, top_business.
 
-    Users and businesses are each counted in one shuffle of per-key partial
-    counts, from which the totals, the number of keys and the top follow.
+    Users and businesses are each counted once, in one pass of per-key partial
+    counts; the totals, the number of keys and the top follow from those.
     """
     in_year = F.count_if(F.year(time) == year)
-    by_user = reviews.groupBy(user).agg(
-        F.count(F.lit(1)).alias("n"), in_year.alias("n_year")
+    by_user = stage(
+        reviews.groupBy(user).agg(F.count(F.lit(1)).alias("n"), in_year.alias("n_year"))
     )
-    by_business = count_by(reviews, business)
+    by_business = stage(count_by(reviews, business))
     totals = by_user.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n_review"),
         F.coalesce(F.sum("n_year"), F.lit(0)).alias("n_review_year"),

@@ -37,11 +37,21 @@ def _table(names, rows):
 
 def compare(df, con, sql):
     """Assert that both sides give the same columns and rows; return the count."""
-    left = _table(df.columns, [tuple(r) for r in df.collect()])
+    ours = [tuple(r) for r in df.collect()]
     result = con.execute(sql)
-    right = _table([c[0] for c in result.description], result.fetchall())
+    names, theirs = [c[0] for c in result.description], result.fetchall()
+    assert kinds(df.columns, ours) == kinds(names, theirs)
+    left, right = _table(df.columns, ours), _table(names, theirs)
     assert left[0] == right[0], (left[0], right[0])
     assert len(left[1]) == len(right[1]), (len(left[1]), len(right[1]))
     for a, b in zip(left[1], right[1]):
         assert a == b, (a, b)
     return len(left[1])
+
+
+def kinds(names, rows):
+    """The Python types of each column's values."""
+    return {
+        name: sorted({type(row[i]).__name__ for row in rows if row[i] is not None})
+        for i, name in enumerate(names)
+    }
