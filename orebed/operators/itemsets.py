@@ -69,9 +69,7 @@ def frequent_itemsets(
     the search to given itemsets, which must hold all subsets of each.
     """
     occurrences = _occurrences(b, F.lit(0), basket, item)
-    need = b.sparkSession.range(1).select(
-        F.lit(0).alias("chunk"), F.lit(support).cast("long").alias("need")
-    )
+    need = _need(b, support)
     singles = _at_least(_count(occurrences, "chunk", "item"), need)
     if within is not None:
         first = within.where(F.size("itemset") == 1)
@@ -165,27 +163,42 @@ def count_candidates(
 
 
 def frequent_itemsets_fpgrowth(
-    b: DataFrame, support: int, basket: str = "basket_id", item: str = "item"
+    b: DataFrame,
+    support: int,
+    basket: str = "basket_id",
+    item: str = "item",
+    heavy_basket: int = HEAVY_BASKET,
 ) -> DataFrame:
     """The same itemsets by Spark's FP-growth: ``itemset, size, freq``.
 
-    Each basket becomes one array, of its distinct frequent items only. For
-    baskets without a bound on those use ``frequent_itemsets``.
+    Each basket becomes one array, of its distinct frequent items. The heavy
+    baskets ``frequent_itemsets`` leaves out of pair making are left out here.
     """
-    occurrences = b.select(basket, item).distinct()
-    singles = _count(occurrences, item).where(F.col("freq") >= support)
-    arrays = stage(
-        occurrences.join(singles, item, "left_semi")
-        .groupBy(basket)
-        .agg(F.collect_list(item).alias("items"))
-    )
+    occurrences = _occurrences(b, F.lit(0), basket, item)
+    need = _need(b, support)
+    singles = _at_least(_count(occurrences, "chunk", "item"), need)
+    occurrences = stage(occurrences.join(singles, ["chunk", "item"], "left_semi"))
+    light, lower, heavy = _set_heavy_aside(occurrences, need, heavy_basket)
+    arrays = stage(light.groupBy("basket").agg(F.collect_list("item").alias("items")))
+    least = lower.first()["need"]
     n = arrays.count()
     # The model keeps counts >= ceil(share * n); half a basket less is exact.
-    share = min(1.0, max(0.0, (support - 0.5) / max(n, 1)))
+    share = min(1.0, max(0.0, (least - 0.5) / max(n, 1)))
     model = FPGrowth(itemsCol="items", minSupport=share, minConfidence=1.0).fit(arrays)
-    itemset = F.array_sort("items")
-    return model.freqItemsets.select(
-        itemset.alias("itemset"), F.size("items").alias("size"), "freq"
+    found = model.freqItemsets.select(
+        F.lit(0).alias("chunk"), F.array_sort("items").alias("itemset"), "freq"
+    )
+    if heavy is not None:
+        found = _with_heavy(stage(found), occurrences, heavy, need)
+    return found.where(F.col("freq") >= support).select(
+        "itemset", F.size("itemset").alias("size"), "freq"
+    )
+
+
+def _need(b: DataFrame, support: int) -> DataFrame:
+    """The support asked for, as the one row of a single chunk."""
+    return b.sparkSession.range(1).select(
+        F.lit(0).alias("chunk"), F.lit(support).cast("long").alias("need")
     )
 
 
@@ -223,19 +236,9 @@ def _levels(
     occurrences = stage(
         occurrences.join(level.select("chunk", "item", "id"), ["chunk", "item"])
     )
-    heavy = stage(_heavy_baskets(occurrences, need, heavy_basket))
-    split = not heavy.isEmpty()
-    light, need_light = occurrences, need
-    if split:
-        # A set in `need` baskets is in need - h of those left after any h go.
-        light = stage(occurrences.join(heavy, ["chunk", "basket"], "left_anti"))
-        gone = _count(heavy, "chunk")
-        need_light = need.join(gone, "chunk", "left").select(
-            "chunk", (F.col("need") - F.coalesce("freq", F.lit(0))).alias("need")
-        )
-
+    light, lower, heavy = _set_heavy_aside(occurrences, need, heavy_basket)
     nothing = F.lit(0).cast("long").alias("parent")
-    tails = light.select("chunk", "basket", nothing, F.col("item").alias("last"), "id")
+    tails = light.select("chunk", "basket", "splits", nothing, F.col("item").alias("last"), "id")
     found = [level.select("chunk", "itemset", "freq")]
     longer, size = None, 2
     while True:
@@ -256,7 +259,7 @@ def _levels(
         parents = level.select("chunk", F.col("id").alias("parent"), F.col("itemset").alias("head"))
         itemset = F.concat("head", F.array("last")).alias("itemset")
         level = stage(
-            _at_least(_count(longer, *_SET), need_light)
+            _at_least(_count(longer, *_SET), lower)
             .join(parents, ["chunk", "parent"])
             .select(*_SET, itemset, "freq", number)
         )
@@ -266,39 +269,64 @@ def _levels(
         size += 1
 
     singles, larger = found[0], found[1:]
-    if split and larger:
-        counted = reduce(DataFrame.unionByName, larger)
-        in_heavy = occurrences.join(heavy, ["chunk", "basket"], "left_semi")
-        more = _contained(counted.select("chunk", "itemset"), in_heavy)
-        both = counted.unionByName(more).groupBy("chunk", "itemset")
-        larger = [_at_least(both.agg(F.sum("freq").alias("freq")), need)]
+    if heavy is not None and larger:
+        larger = [_with_heavy(reduce(DataFrame.unionByName, larger), occurrences, heavy, need)]
     return reduce(DataFrame.unionByName, [singles, *larger])
 
 
-def _heavy_baskets(occurrences: DataFrame, need: DataFrame, heavy_basket: int) -> DataFrame:
-    """The largest baskets of each chunk, no more than half of what it needs."""
+def _set_heavy_aside(
+    occurrences: DataFrame, need: DataFrame, heavy_basket: int
+) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Leave out the largest baskets of each chunk, no more than half of what
+    it needs.
+
+    A set in ``need`` baskets is in ``need - h`` of those left after any ``h``
+    go. Returns the occurrences left, with the ``splits`` of their basket, the
+    lower needs, and the baskets left out or None.
+    """
+    large = stage(
+        _count(occurrences, "chunk", "basket").where(F.col("freq") > heavy_basket)
+    )
+    if large.isEmpty():
+        return occurrences.withColumn("splits", F.lit(1)), need, None
     largest = Window.partitionBy("chunk").orderBy(F.desc("freq"), "basket")
-    ranked = (
-        _count(occurrences, "chunk", "basket")
-        .where(F.col("freq") > heavy_basket)
-        .withColumn("place", F.row_number().over(largest))
+    heavy = stage(
+        large.withColumn("place", F.row_number().over(largest))
         .where(F.col("place") <= MOST_HEAVY)
-    )
-    return (
-        ranked.join(need, "chunk")
+        .join(need, "chunk")
         .where(F.col("place") <= F.expr("(need - 1) div 2"))
         .select("chunk", "basket")
     )
+    splits = F.ceil(F.col("freq") / heavy_basket).cast("int").alias("splits")
+    light = stage(
+        occurrences.join(heavy, ["chunk", "basket"], "left_anti")
+        .join(large.select("chunk", "basket", splits), ["chunk", "basket"], "left")
+        .withColumn("splits", F.coalesce("splits", F.lit(1)))
+    )
+    lower = need.join(_count(heavy, "chunk"), "chunk", "left").select(
+        "chunk", (F.col("need") - F.coalesce("freq", F.lit(0))).alias("need")
+    )
+    return light, lower, heavy
+
+
+def _with_heavy(
+    found: DataFrame, occurrences: DataFrame, heavy: DataFrame, need: DataFrame
+) -> DataFrame:
+    """Add the counts of the baskets left out and ask for the full need."""
+    theirs = occurrences.join(heavy, ["chunk", "basket"], "left_semi")
+    more = _contained(found.select("chunk", "itemset"), theirs)
+    both = found.unionByName(more).groupBy("chunk", "itemset")
+    return _at_least(both.agg(F.sum("freq").alias("freq")), need)
 
 
 def _grow(tails: DataFrame) -> DataFrame:
     """Join the occurrences of a basket that share their parent."""
-    left = tails.select("chunk", "basket", "parent", F.col("last").alias("lower"), "id")
-    right = tails.select("chunk", "basket", "parent", F.col("last").alias("upper"))
-    return (
-        left.join(right, ["chunk", "basket", "parent"])
-        .where(F.col("lower") < F.col("upper"))
-        .select("chunk", "basket", F.col("id").alias("parent"), F.col("upper").alias("last"))
+    keys = ["chunk", "basket", "parent"]
+    left = tails.select(*keys, F.col("last").alias("lower"), "id", "splits")
+    right = tails.select(*keys, F.col("last").alias("upper"), "splits")
+    ordered = F.col("lower") < F.col("upper")
+    return join_within(left, right, keys, ["lower"], ordered, F.col("splits")).select(
+        "a.chunk", "a.basket", "a.splits", F.col("id").alias("parent"), F.col("upper").alias("last")
     )
 
 
