@@ -59,7 +59,7 @@ _LOCAL = _sets_sql(
     "local",
     "SELECT basket_id % 4 AS chunk, basket_id, item FROM big_tx",
     """n * (SELECT count(DISTINCT basket_id) FROM big_tx) >= 65 *
-       (SELECT count(DISTINCT basket_id) FROM big_tx WHERE basket_id % 4 = chunk)""",
+       (SELECT count(DISTINCT basket_id) FROM local_once AS o WHERE o.chunk = local_count.chunk)""",
 )
 
 
@@ -143,6 +143,22 @@ def itemset_candidates(spark, sf_dir):
     return _as_text(itemsets.gen_candidates(sets.where(F.col("size") == 2).select("itemset")))
 
 
+@query(
+    "itemset_unions",
+    with_views("big_tx")
+    + f""", {_FREQUENT},
+    pairs AS (SELECT itemset, split_part(itemset, ',', 1) AS x, split_part(itemset, ',', 2) AS y
+        FROM frequent WHERE size = 2)
+    SELECT DISTINCT array_to_string(list_sort(list_distinct([a.x, a.y, b.x, b.y])), ',') AS itemset
+    FROM pairs AS a JOIN pairs AS b ON a.itemset < b.itemset
+        AND (a.x = b.x OR a.x = b.y OR a.y = b.x OR a.y = b.y)""",
+)
+def itemset_unions(spark, sf_dir):
+    sets = itemsets.frequent_itemsets(_big_baskets(spark, sf_dir), _support(sf_dir))
+    pairs = sets.where(F.col("size") == 2).select("itemset")
+    return _as_text(itemsets.gen_candidates(pairs, prune=False))
+
+
 @query(
     "candidate_support",
     with_views("big_tx")

@@ -27,6 +27,13 @@ def heavy_keys(
     table's size, so the result may be broadcast.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+    return heavy_of(counts, parts, min_rows, pairs)
+
+
+def heavy_of(
+    counts: DataFrame, parts: int = PARTS, min_rows: int = MIN_ROWS, pairs: bool = False
+) -> DataFrame:
+    """``heavy_keys`` from the rows per key, ``keys..., n_rows``, where known."""
     rows = F.col("n_rows").cast("double")
     work = rows * rows if pairs else rows
     least = float(min_rows) ** (2 if pairs else 1)
@@ -66,16 +73,18 @@ def join_within(
     spread_by: Sequence[str],
     condition: Column,
     splits: Column | None = None,
+    heavy: DataFrame | None = None,
 ) -> DataFrame:
     """Inner join, as ``a`` and ``b``, on ``keys`` and ``condition`` with
     heavy keys split.
 
     The rows of a key are spread over ``splits`` tasks on the left and copied
     to those tasks on the right. ``splits`` is an expression of the key known
-    to both sides; without one the heavy keys are counted on the left.
+    to both sides, or ``heavy`` the table of heavy keys; without either those
+    are counted on the left.
     """
     if splits is None:
-        heavy = heavy_keys(left, keys, pairs=True)
+        heavy = heavy_keys(left, keys, pairs=True) if heavy is None else heavy
         left, right = salted(left, heavy, keys, spread_by), replicated(right, heavy, keys)
     else:
         salt = F.pmod(F.xxhash64(*spread_by), splits).cast("int")

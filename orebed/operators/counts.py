@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,8 +74,3 @@ def rmse(
     """Root mean squared error, one row or one per key."""
     error = F.col(prediction) - F.col(label)
     return df.groupBy(*keys).agg(F.sqrt(F.avg(error * error)).alias("rmse"))
-
-
-def mean_by(df: DataFrame, keys: Sequence[str], **columns: str) -> DataFrame:
-    """Means per key: ``mean_by(df, ["k"], mean_x="x")``."""
-    return df.groupBy(*keys).agg(*[F.avg(c).alias(name) for name, c in columns.items()])

@@ -99,13 +99,13 @@ def son_candidates(
         chunk = F.pmod(F.xxhash64(basket), F.lit(chunks))
     occurrences = _occurrences(b, chunk, basket, item)
     # One row per chunk.
-    per_chunk = stage(_count(occurrences.select("chunk", "basket").distinct(), "chunk"))
+    per_chunk = _count(occurrences.select("chunk", "basket").distinct(), "chunk")
     total = per_chunk.agg(F.sum("freq")).scalar()
     shares = per_chunk.select(
         "chunk", (F.col("freq") * F.lit(support)).alias("share"), total.alias("total")
     )
-    need = shares.select(
-        "chunk", F.expr("greatest(1, (share + total - 1) div total)").alias("need")
+    need = stage(
+        shares.select("chunk", F.expr("greatest(1, (share + total - 1) div total)").alias("need"))
     )
     every = occurrences.groupBy("chunk", "item").agg(F.sum("times").alias("freq"))
     levels = _levels(occurrences, _at_least(every, need), need, None, heavy_basket)
@@ -197,9 +197,8 @@ def frequent_itemsets_fpgrowth(
 
 def _need(b: DataFrame, support: int) -> DataFrame:
     """The support asked for, as the one row of a single chunk."""
-    return b.sparkSession.range(1).select(
-        F.lit(0).alias("chunk"), F.lit(support).cast("long").alias("need")
-    )
+    need = F.lit(support).cast("long").alias("need")
+    return stage(b.sparkSession.range(1).select(F.lit(0).alias("chunk"), need))
 
 
 def _occurrences(b: DataFrame, chunk: Column, basket: str, item: str) -> DataFrame:
