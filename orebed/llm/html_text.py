@@ -191,6 +191,8 @@ def _mark(nodes: list[Node]) -> None:
             node.drop = node.drop or node not in holds
         if node.drop and node.tag not in _SKIPPED and node in holds:
             node.drop = False
+    for node in nodes[::-1]:  # parents first
+        node.drop = node.drop or node.parent is not None and node.parent.drop
 
 
 def _within(node: Node, tags: tuple[str, ...]) -> bool:
@@ -240,18 +242,15 @@ def _text_of(node: Node) -> str:
     return "".join(out)
 
 
-def _dropped_within(node: Node) -> bool:
-    at = node
-    while at is not None:
-        if at.drop:
-            return True
-        at = at.parent
-    return False
+def _heading(node: Node) -> bool:
+    """A heading, or a box that holds nothing else."""
+    inner = [c for c in node.children if isinstance(c, Node) or c.strip()]
+    return node.tag in ("h1", "h2", "h3") or bool(inner) and all(isinstance(c, Node) and c.tag in ("h1", "h2", "h3") for c in inner)
 
 
 def _container(nodes: list[Node], root: Node) -> list[Node]:
     """The best container, or the article that it lies in, and the siblings to keep."""
-    live = [n for n in nodes if not _dropped_within(n)]
+    live = [n for n in nodes if not n.drop]
     score = lambda n: n.points * (1 - n.linked / n.text if n.text else 0)
     best = max(live, key=score, default=root)
     if not score(best) > 0:
@@ -273,9 +272,8 @@ def _container(nodes: list[Node], root: Node) -> list[Node]:
             continue
         density = child.linked / child.text if child.text else 0
         bonus = 0.2 * score(best) if child.words and child.words == best.words else 0
-        heading = child.tag in ("h1", "h2", "h3")
         paragraph = child.tag == "p" and density < 0.25
-        if child is best or heading or paragraph or score(child) + bonus >= least:
+        if child is best or _heading(child) or paragraph or score(child) + bonus >= least:
             kept.append(child)
     return kept
 
