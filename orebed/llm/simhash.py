@@ -237,4 +237,5 @@ def keep_one(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rooted = least.join(groups(prints).withColumnRenamed("node", "fp"), "fp", "left")
     kept = rooted.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
     kept = kept.select(F.col("first.r").alias("__row"))
-    return staged.join(kept, "__row", "left_semi").select(*columns)
+    # Always by a shuffle: the kept numbers grow with the documents.
+    return staged.join(kept.hint("merge"), "__row", "left_semi").select(*columns)
