@@ -92,10 +92,16 @@ def _prints(documents: DataFrame, keep: list[str], text_col: str, shingle: int)
 
 def _hash_rows(bits: int) -> np.ndarray:
     """For each of the 64 bits, its share in a linear hash of ``bits`` bits: the hash of a
-    value is the XOR of the shares of its set bits."""
+    value is the XOR of the shares of its set bits.
+
+    Several bits of a half have the same share, so that the variants of a fingerprint fall into tens of
+    buckets, not hundreds, and it is sent to as many. All bits count, so near copies spread.
+    """
     if not bits:
         return np.zeros(64, dtype=np.int64)
-    return np.random.default_rng(7).integers(1, 1 << bits, size=64, dtype=np.int64)
+    shares = max(8, bits // 2 + 1)
+    drawn = np.random.default_rng(7).integers(1, 1 << bits, size=(2, shares), dtype=np.int64)
+    return drawn[:, np.arange(32) % shares].ravel()
 
 
 def _linear_hash(values: np.ndarray, shares: np.ndarray) -> np.ndarray:
