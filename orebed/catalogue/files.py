@@ -54,3 +54,30 @@ def split_csv_roundtrip(spark, sf_dir):
     columns = ["user_id", "business_id", "stars"]
     back = readers.read_split_csv(spark, folder, columns, header=True, drop_quotes=True)
     return rounded(back.withColumn("stars", F.col("stars").cast("double")), "stars")
+
+
+@query("plain_csv_roundtrip", ORACLES["csv_roundtrip"])
+def plain_csv_roundtrip(spark, sf_dir):
+    """The split reader with quotes left as they are."""
+    folder = _new_folder(spark)
+    writers.write_csv(view(spark, sf_dir, "ratings").drop("split"), folder)
+    columns = ["user_id", "business_id", "stars"]
+    back = readers.read_split_csv(spark, folder, columns, header=True)
+    return rounded(back.withColumn("stars", F.col("stars").cast("double")), "stars")
+
+
+@query("unlabelled_ratings", ORACLES["csv_roundtrip"])
+def unlabelled_ratings(spark, sf_dir):
+    """A file with stars read without asking for a label: all its columns."""
+    folder = _new_folder(spark)
+    writers.write_csv(view(spark, sf_dir, "ratings").drop("split"), folder)
+    return rounded(readers.read_ratings(spark, folder, labelled=False), "stars")
+
+
+@query(
+    "rating_lines",
+    with_views("ratings") + "SELECT concat(user_id, ',', business_id, ',', split) AS line FROM ratings",
+)
+def rating_lines(spark, sf_dir):
+    columns = (F.col(c) for c in ("user_id", "business_id", "split"))
+    return view(spark, sf_dir, "ratings").select(scalar.row_text(*columns).alias("line"))

@@ -2,22 +2,26 @@
 
 from __future__ import annotations
 
-from pathlib import Path
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orebed.catalogue.registry import ORACLES, query
 from orebed.fixtures import view, with_views
+from orebed.functions import scalar
 from orebed.operators import itemsets
 from orebed.sources import writers
 
-# Supports that give three levels on the transactions of each table folder.
-SUPPORT = {"sf0.001": 7, "sf0.01": 65, "sf0.1": 400}
+# One basket in so many has to hold a frequent itemset. At this share the SQL checks, which list sets of one
+# to three items, are complete.
+ONE_IN = 130
+
 
+def _support(b: DataFrame) -> int:
+    """The fixed share of the baskets, rounded up."""
+    return max(1, -(-b.select("basket_id").distinct().count() // ONE_IN))
 
-def _support(sf_dir: str) -> int:
-    return SUPPORT.get(Path(sf_dir).name, SUPPORT["sf0.01"])
+
+_SUPPORT_SQL = f"(SELECT (count(DISTINCT basket_id) + {ONE_IN - 1}) // {ONE_IN} FROM big_tx)"
 
 
 def _big_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,13 +56,13 @@ def _sets_sql(name: str, rows: str, need: str) -> str:
 
 
 _FREQUENT = _sets_sql(
-    "frequent", "SELECT DISTINCT 0 AS chunk, basket_id, item FROM big_tx", "n >= 65"
+    "frequent", "SELECT DISTINCT 0 AS chunk, basket_id, item FROM big_tx", f"n >= {_SUPPORT_SQL}"
 )
 # The transactions in four chunks; each needs its share of the support.
 _LOCAL = _sets_sql(
     "local",
     "SELECT basket_id % 4 AS chunk, basket_id, item FROM big_tx",
-    """n * (SELECT count(DISTINCT basket_id) FROM big_tx) >= 65 *
+    f"""n * (SELECT count(DISTINCT basket_id) FROM big_tx) >= {_SUPPORT_SQL} *
        (SELECT count(DISTINCT basket_id) FROM local_once AS o WHERE o.chunk = local_count.chunk)""",
 )
 
@@ -67,6 +71,35 @@ def _chunk():
     return F.col("basket_id") % 4
 
 
+@query(
+    "daily_baskets",
+    with_views("purchases")
+    + """, days AS (SELECT strftime(day, '%m/%d/%Y') AS day, customer, item FROM purchases)
+    SELECT concat(left(day, 5), right(day, 2), '-', customer) AS basket_id, count(*) AS n,
+    count(DISTINCT item) AS n_items FROM days GROUP BY 1""",
+)
+def daily_baskets(spark, sf_dir):
+    """Baskets of a day's text and a customer, as the transactions are read from files."""
+    tx = view(spark, sf_dir, "purchases").withColumn("day", F.date_format("day", "MM/dd/yyyy"))
+    b = itemsets.baskets(tx, "day", "customer", "item")
+    return b.groupBy("basket_id").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("item").alias("n_items")
+    )
+
+
+@query(
+    "basket_subset",
+    with_views("tx")
+    + """SELECT basket_id, count(DISTINCT CASE WHEN item IN ('Brand#11', 'Brand#22') THEN item END) = 2
+    AS holds_both FROM tx GROUP BY basket_id""",
+)
+def basket_subset(spark, sf_dir):
+    """Whether a basket holds two items; there are few brands, so few items in a basket's set."""
+    items = view(spark, sf_dir, "tx").groupBy("basket_id").agg(F.collect_set("item").alias("items"))
+    wanted = F.array(F.lit("Brand#11"), F.lit("Brand#22"))
+    return items.select("basket_id", scalar.is_subset(wanted, F.col("items")).alias("holds_both"))
+
+
 @query(
     "basket_filter",
     with_views("tx")
@@ -81,8 +114,8 @@ def basket_filter(spark, sf_dir):
     with_views("big_tx") + f", {_FREQUENT} SELECT itemset, size, n AS freq FROM frequent",
 )
 def frequent_itemsets(spark, sf_dir):
-    sets = itemsets.frequent_itemsets(_big_baskets(spark, sf_dir), _support(sf_dir))
-    return _as_text(sets)
+    b = _big_baskets(spark, sf_dir)
+    return _as_text(itemsets.frequent_itemsets(b, _support(b)))
 
 
 @query(
@@ -91,7 +124,8 @@ def frequent_itemsets(spark, sf_dir):
     + f", {_FREQUENT} SELECT itemset, size, n AS freq FROM frequent WHERE size = 2",
 )
 def frequent_pairs_fpgrowth(spark, sf_dir):
-    sets = itemsets.frequent_itemsets_fpgrowth(_big_baskets(spark, sf_dir), _support(sf_dir))
+    b = _big_baskets(spark, sf_dir)
+    sets = itemsets.frequent_itemsets_fpgrowth(b, _support(b))
     return _as_text(sets.where(F.col("size") == 2))
 
 
@@ -101,13 +135,13 @@ def frequent_pairs_fpgrowth(spark, sf_dir):
 )
 def son_candidates(spark, sf_dir):
     b = _big_baskets(spark, sf_dir)
-    return _as_text(itemsets.son_candidates(b, _support(sf_dir), chunk=_chunk()))
+    return _as_text(itemsets.son_candidates(b, _support(b), chunk=_chunk()))
 
 
 @query("son_itemsets", ORACLES["frequent_itemsets"])
 def son_itemsets(spark, sf_dir):
     b = _big_baskets(spark, sf_dir)
-    _, frequent = itemsets.son(b, _support(sf_dir), chunk=_chunk())
+    _, frequent = itemsets.son(b, _support(b), chunk=_chunk())
     return _as_text(frequent)
 
 
@@ -124,7 +158,7 @@ def son_itemsets(spark, sf_dir):
 )
 def itemset_report(spark, sf_dir):
     b = _big_baskets(spark, sf_dir)
-    candidates, frequent = itemsets.son(b, _support(sf_dir), chunk=_chunk())
+    candidates, frequent = itemsets.son(b, _support(b), chunk=_chunk())
     sections = (("Candidates:", candidates), ("Frequent Itemsets:", frequent))
     return writers.itemset_report(*sections).drop("itemset")
 
@@ -139,7 +173,8 @@ def itemset_report(spark, sf_dir):
     JOIN pairs AS b ON a.x = b.x AND a.y < b.y JOIN pairs AS c ON c.x = a.y AND c.y = b.y""",
 )
 def itemset_candidates(spark, sf_dir):
-    sets = itemsets.frequent_itemsets(_big_baskets(spark, sf_dir), _support(sf_dir))
+    b = _big_baskets(spark, sf_dir)
+    sets = itemsets.frequent_itemsets(b, _support(b))
     return _as_text(itemsets.gen_candidates(sets.where(F.col("size") == 2).select("itemset")))
 
 
@@ -154,7 +189,8 @@ def itemset_candidates(spark, sf_dir):
         AND (a.x = b.x OR a.x = b.y OR a.y = b.x OR a.y = b.y)""",
 )
 def itemset_unions(spark, sf_dir):
-    sets = itemsets.frequent_itemsets(_big_baskets(spark, sf_dir), _support(sf_dir))
+    b = _big_baskets(spark, sf_dir)
+    sets = itemsets.frequent_itemsets(b, _support(b))
     pairs = sets.where(F.col("size") == 2).select("itemset")
     return _as_text(itemsets.gen_candidates(pairs, prune=False))
 
@@ -173,5 +209,5 @@ def itemset_unions(spark, sf_dir):
 def candidate_support(spark, sf_dir):
     b = _big_baskets(spark, sf_dir)
     n = b.distinct().groupBy("item").count()
-    singles = n.where(F.col("count") >= _support(sf_dir)).select(F.array("item").alias("itemset"))
+    singles = n.where(F.col("count") >= _support(b)).select(F.array("item").alias("itemset"))
     return _as_text(itemsets.count_candidates(itemsets.gen_candidates(singles), b))

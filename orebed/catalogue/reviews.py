@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from orebed.catalogue.registry import ORACLES, query, rounded
 from orebed.fixtures import view, with_views
 from orebed.operators import cities, counts, layout
+from orebed.session import stage
 
 _TOP = "SELECT {key}, count(*) AS n FROM reviews GROUP BY {key} ORDER BY n DESC, {key} LIMIT 10"
 
@@ -66,6 +67,26 @@ def partition_profile(spark, sf_dir):
     return layout.partition_profile(layout.cluster_by(keys, "business_id", 10, False), 10)
 
 
+@query(
+    "partition_totals",
+    with_views("reviews")
+    + """SELECT 10 AS n_partitions, count(*) AS n_items, cast(0 AS bigint) AS n_split_keys FROM reviews""",
+)
+def partition_totals(spark, sf_dir):
+    """What holds of any clustering by key: partitions, rows, and keys in more than one."""
+    keys = view(spark, sf_dir, "reviews").select("business_id")
+    rows = layout.cluster_by(keys, "business_id", 10, False).groupBy(
+        "business_id", F.spark_partition_id().alias("partition_id")
+    )
+    places = stage(rows.agg(F.count(F.lit(1)).alias("n")))
+    split = places.groupBy("business_id").count().where("count > 1").agg(F.count(F.lit(1)).alias("n_split_keys"))
+    profile = layout.partition_profile(layout.cluster_by(keys, "business_id", 10, False), 10)
+    totals = profile.agg(
+        F.count(F.lit(1)).cast("int").alias("n_partitions"), F.sum("n_items").alias("n_items")
+    )
+    return totals.withColumn("n_split_keys", split.scalar())
+
+
 _CITY = """SELECT city, round(avg(r.stars), 6) AS stars
     FROM business AS b JOIN reviews AS r ON b.business_id = r.business_id GROUP BY city"""
 

@@ -26,11 +26,10 @@ VIEWS = {
              LEFT JOIN reviews ON business_id = s_suppkey
         GROUP BY s_suppkey, n_name, s_acctbal""",
     "tips": """
-        SELECT l_suppkey AS business_id FROM lineitem WHERE l_returnflag = 'R'""",
+        SELECT l_suppkey AS business_id FROM lineitem""",
     "photos": """
-        SELECT l_suppkey AS business_id, l_orderkey AS photo_id
-        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
-        WHERE l_linestatus = 'O' AND s_acctbal > 0""",
+        SELECT 1 + o_custkey % (SELECT max(s_suppkey) FROM supplier) AS business_id, o_orderkey AS photo_id
+        FROM orders""",
     "ratings": """
         SELECT user_id, business_id, avg(stars) AS stars,
                CASE WHEN max(date) < TIMESTAMP '2000-06-01 00:00:00' THEN 'train'
@@ -40,6 +39,9 @@ VIEWS = {
         SELECT o_custkey AS user_id, p_brand AS item, avg(l_quantity) AS rating
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey
         GROUP BY o_custkey, p_brand""",
+    "purchases": """
+        SELECT o_orderdate AS day, o_custkey AS customer, p_brand AS item
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey""",
     "tx": """
         SELECT l_orderkey AS basket_id, p_brand AS item
         FROM lineitem JOIN part ON p_partkey = l_partkey""",

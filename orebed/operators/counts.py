@@ -19,8 +19,8 @@ def distinct_count(df: DataFrame, column: str, name: str = "n") -> DataFrame:
 
 
 def top_k(df: DataFrame, key: str, k: int = 10) -> DataFrame:
-    """The ``k`` keys with the most rows: count descending, then key."""
-    return count_by(df, key).orderBy(F.desc("n"), F.asc(key)).limit(k)
+    """The ``k`` keys with the most rows: count descending, then key. A NULL is no key."""
+    return count_by(df, key).where(F.col(key).isNotNull()).orderBy(F.desc("n"), F.asc(key)).limit(k)
 
 
 def ranked_list(top: DataFrame, key: str, value: str = "n") -> Column:

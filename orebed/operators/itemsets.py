@@ -102,10 +102,10 @@ def son_candidates(
     per_chunk = _count(occurrences.select("chunk", "basket").distinct(), "chunk")
     total = per_chunk.agg(F.sum("freq")).scalar()
     shares = per_chunk.select(
-        "chunk", (F.col("freq") * F.lit(support)).alias("share"), total.alias("total")
+        "chunk", (F.col("freq").cast("decimal(38,0)") * F.lit(support)).alias("share"), total.alias("total")
     )
     need = stage(
-        shares.select("chunk", F.expr("greatest(1, (share + total - 1) div total)").alias("need"))
+        shares.select("chunk", F.expr("greatest(1, cast(ceil(share / total) AS bigint))").alias("need"))
     )
     every = occurrences.groupBy("chunk", "item").agg(F.sum("times").alias("freq"))
     levels = _levels(occurrences, _at_least(every, need), need, None, heavy_basket)

@@ -4,20 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from orebed.functions import scalar
 from orebed.sources.schemas import RATING
 
 
 def require(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Fail the job on a row where one of ``columns`` is NULL."""
-    for name in columns:
-        missing = F.raise_error(F.lit(f"required field {name} is missing"))
-        df = df.withColumn(name, F.when(F.col(name).isNull(), missing).otherwise(F.col(name)))
-    return df
+    """Fail the job on a row where one of ``columns`` is NULL, whichever columns are used later.
+
+    The check is a row filter: unlike a column's expression it is not pruned with the column.
+    """
+    if not columns:
+        return df
+    checks = [
+        F.when(F.col(name).isNull(), F.raise_error(F.lit(f"required field {name} is missing")).cast("boolean"))
+        for name in columns
+    ]
+    return df.where(F.coalesce(*checks, F.lit(True)))
 
 
 def read_json_lines(
@@ -39,21 +45,30 @@ def read_split_csv(
     """Lines trimmed and cut at every comma, all columns text.
 
     Quotes never protect a comma; ``drop_quotes`` deletes them. With
-    ``header`` every line whose fields equal those of the first line is
+    ``header`` every line whose fields equal those of the first line of the first file, by name, is
     dropped, wherever it stands. Fields beyond ``columns`` are ignored.
     """
     text = spark.read.text(path)
     fields = scalar.split_fields(F.col("value"), drop_quotes)
     rows = text.select(fields.alias("fields"))
     if header:
-        first = rows.first()
+        first = _first_line(spark, text, fields)
         if first is not None:
-            rows = rows.where(F.col("fields") != F.lit(first["fields"]))
+            rows = rows.where(F.col("fields") != F.lit(first))
     return rows.select(
         *[F.get("fields", F.lit(i)).alias(name) for i, name in enumerate(columns) if name]
     )
 
 
+def _first_line(spark: SparkSession, text: DataFrame, fields: Column) -> list[str] | None:
+    """The fields of the first line of the first file with a line, by name."""
+    for name in sorted(text.inputFiles()):
+        first = spark.read.text(name).select(fields.alias("fields")).first()
+        if first is not None:
+            return first["fields"]
+    return None
+
+
 def read_csv(
     spark: SparkSession, path: str, schema: StructType, header: bool = True
 ) -> DataFrame:
@@ -64,6 +79,14 @@ def read_csv(
 
 
 def read_ratings(spark: SparkSession, path: str, labelled: bool = True) -> DataFrame:
-    """User, business and, when labelled, stars; one header line."""
-    df = read_csv(spark, path, RATING if labelled else StructType(RATING.fields[:2]))
-    return df
+    """User, business and, when labelled, stars; one header line.
+
+    Without ``labelled`` the columns of the header are kept, stars included if there are
+    any, and only user and business have to parse.
+    """
+    if labelled:
+        return read_csv(spark, path, RATING)
+    names = spark.read.option("header", True).csv(path).columns
+    types = {f.name: f.dataType for f in RATING.fields}
+    schema = StructType([StructField(n, types.get(n, StringType())) for n in names])
+    return read_csv(spark, path, schema)

@@ -43,6 +43,10 @@ def test_ratings(spark, tmp_path):
     path = tmp_path / "v.csv"
     path.write_text("user_id,business_id\nu,b\n")
     assert tuple(readers.read_ratings(spark, str(path), labelled=False).first()) == ("u", "b")
+    path = tmp_path / "w.csv"
+    path.write_text("user_id,business_id,stars\nu,b,4.0\n")
+    whole = readers.read_ratings(spark, str(path), labelled=False)
+    assert whole.columns == ["user_id", "business_id", "stars"] and whole.count() == 1
     path = tmp_path / "bad.csv"
     path.write_text("user_id,business_id,stars\nu,b,many\n")
     with pytest.raises(Exception):
@@ -76,3 +80,23 @@ def test_scalars(spark):
     assert tuple(row) == (2013, None, 0.5, True, False, "a", "\t a ,1.5,")
     with pytest.raises(Exception):
         df.select(scalar.parse_timestamp(F.lit("bad"))).collect()
+
+
+def test_required_field_is_checked_whatever_is_selected(spark, tmp_path):
+    path = tmp_path / "x.json"
+    path.write_text('{"user_id": "u", "business_id": "b"}\n{"business_id": "c"}\n')
+    df = readers.read_json_lines(
+        spark, str(path), "user_id string, business_id string", ("user_id", "business_id")
+    )
+    for use in (df.select("business_id"), df.groupBy("business_id").count()):
+        with pytest.raises(Exception, match="required field user_id"):
+            use.collect()
+    with pytest.raises(Exception, match="required field user_id"):
+        df.count()
+
+
+def test_header_of_the_first_file_by_name(spark, tmp_path):
+    (tmp_path / "part-0").write_text("a,b\n1,2\n")
+    (tmp_path / "part-1").write_text("3,4\n" * 500)
+    rows = readers.read_split_csv(spark, str(tmp_path), ["a", "b"], header=True)
+    assert rows.count() == 501 and rows.where("a = 'a'").count() == 0
