@@ -11,8 +11,8 @@ from orebed.functions import scalar
 from orebed.operators import itemsets
 from orebed.sources import writers
 
-# One basket in so many has to hold a frequent itemset. At this share the SQL checks, which list sets of one
-# to three items, are complete.
+# One basket in so many has to hold a frequent itemset. The SQL checks list sets of one to three items; larger
+# ones occur at this share only in the chunks of tables of a few hundred baskets.
 ONE_IN = 130
 
 
