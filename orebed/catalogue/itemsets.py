@@ -9,6 +9,7 @@ from orebed.catalogue.registry import ORACLES, query
 from orebed.fixtures import view, with_views
 from orebed.functions import scalar
 from orebed.operators import itemsets
+from orebed.session import stage
 from orebed.sources import writers
 
 # One basket in so many has to hold a frequent itemset. The SQL checks list sets of one to three items; larger
@@ -25,7 +26,7 @@ _SUPPORT_SQL = f"(SELECT (count(DISTINCT basket_id) + {ONE_IN - 1}) // {ONE_IN}
 
 
 def _big_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return itemsets.filter_baskets(view(spark, sf_dir, "tx"), 3)
+    return stage(itemsets.filter_baskets(view(spark, sf_dir, "tx"), 3))
 
 
 def _as_text(sets: DataFrame) -> DataFrame:
@@ -174,7 +175,7 @@ def itemset_report(spark, sf_dir):
 )
 def itemset_candidates(spark, sf_dir):
     b = _big_baskets(spark, sf_dir)
-    sets = itemsets.frequent_itemsets(b, _support(b))
+    sets = itemsets.frequent_itemsets(b, _support(b), max_size=2)
     return _as_text(itemsets.gen_candidates(sets.where(F.col("size") == 2).select("itemset")))
 
 
@@ -190,7 +191,7 @@ def itemset_candidates(spark, sf_dir):
 )
 def itemset_unions(spark, sf_dir):
     b = _big_baskets(spark, sf_dir)
-    sets = itemsets.frequent_itemsets(b, _support(b))
+    sets = itemsets.frequent_itemsets(b, _support(b), max_size=2)
     pairs = sets.where(F.col("size") == 2).select("itemset")
     return _as_text(itemsets.gen_candidates(pairs, prune=False))
 

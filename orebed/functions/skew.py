@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# A key is heavy from its share of one in so many; in sessions with more shuffle partitions, from
+# one partition's share.
 PARTS = 1000
 MIN_ROWS = 10_000
 
@@ -14,7 +16,7 @@ MIN_ROWS = 10_000
 def heavy_keys(
     df: DataFrame,
     keys: Sequence[str],
-    parts: int = PARTS,
+    parts: int | None = None,
     min_rows: int = MIN_ROWS,
     pairs: bool = False,
 ) -> DataFrame:
@@ -31,9 +33,11 @@ def heavy_keys(
 
 
 def heavy_of(
-    counts: DataFrame, parts: int = PARTS, min_rows: int = MIN_ROWS, pairs: bool = False
+    counts: DataFrame, parts: int | None = None, min_rows: int = MIN_ROWS, pairs: bool = False
 ) -> DataFrame:
     """``heavy_keys`` from the rows per key, ``keys..., n_rows``, where known."""
+    if parts is None:
+        parts = max(PARTS, int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     rows = F.col("n_rows").cast("double")
     work = rows * rows if pairs else rows
     least = float(min_rows) ** (2 if pairs else 1)

@@ -1,12 +1,13 @@
 """Baskets, frequent itemsets by levels, and two-phase mining by chunks.
 
-A level is held as occurrences ``(chunk, basket, parent, last, id)``: the
-basket contains the frequent itemset ``id``, which is the itemset ``parent``
-of the level before plus the item ``last``. Two occurrences of one basket with
-the same parent make an occurrence one item longer, so every level is an
-equi-join on numbers followed by a count per itemset that combines before its
-shuffle. The items of an itemset are kept in the level's own, smaller table.
-Only the loop over levels runs on the driver.
+Baskets are put together once, as sorted arrays of their frequent items; an array is at
+most as long as there are frequent items. From then on a level is held as rows
+``(chunk, id, rest)``: some basket contains the frequent itemset ``id``, and ``rest`` are its
+items after the last one of the set. Itemsets one longer are the set with each item of ``rest``,
+so a level is counted row by row, and only itemsets with their counts, combined before, cross a
+shuffle. Rows meet the table of a level, which Spark broadcasts where its size allows. The
+items of an itemset are kept in the level's own, smaller table. Only the loop over
+levels runs on the driver.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from orebed.functions import scalar
-from orebed.functions.skew import MIN_ROWS, join_within
+from orebed.functions.skew import MIN_ROWS, heavy_of, join_within, replicated, salted
 from orebed.session import stage
 
 # Baskets with more frequent items than this are left out of pair making,
@@ -62,11 +63,13 @@ def frequent_itemsets(
     item: str = "item",
     within: DataFrame | None = None,
     heavy_basket: int = HEAVY_BASKET,
+    max_size: int | None = None,
 ) -> DataFrame:
     """Itemsets in at least ``support`` baskets: ``itemset, size, freq``.
 
     A basket counts once however often it repeats an item. ``within`` limits
-    the search to given itemsets, which must hold all subsets of each.
+    the search to given itemsets, which must hold all subsets of each; ``max_size``
+    limits it to itemsets of so many items.
     """
     occurrences = _occurrences(b, F.lit(0), basket, item)
     need = _need(b, support)
@@ -76,7 +79,7 @@ def frequent_itemsets(
         singles = singles.join(
             first.select(F.col("itemset")[0].alias("item")), "item", "left_semi"
         )
-    levels = _levels(occurrences, singles, need, within, heavy_basket)
+    levels = _levels(occurrences, singles, need, within, heavy_basket, max_size)
     return levels.select("itemset", F.size("itemset").alias("size"), "freq")
 
 
@@ -152,8 +155,7 @@ def count_candidates(
 ) -> DataFrame:
     """Baskets holding each candidate: ``itemset, freq``, zero counts left out.
 
-    A basket holds a candidate of ``k`` items when ``k`` of the candidate's
-    items join to it.
+    A candidate is looked for in the baskets of its rarest item.
     """
     occurrences = b.select(
         F.lit(0).alias("chunk"), F.col(basket).alias("basket"), F.col(item).alias("item")
@@ -198,7 +200,7 @@ def frequent_itemsets_fpgrowth(
 def _need(b: DataFrame, support: int) -> DataFrame:
     """The support asked for, as the one row of a single chunk."""
     need = F.lit(support).cast("long").alias("need")
-    return stage(b.sparkSession.range(1).select(F.lit(0).alias("chunk"), need))
+    return b.sparkSession.range(1).select(F.lit(0).alias("chunk"), need)
 
 
 def _occurrences(b: DataFrame, chunk: Column, basket: str, item: str) -> DataFrame:
@@ -223,6 +225,7 @@ def _levels(
     need: DataFrame,
     within: DataFrame | None,
     heavy_basket: int,
+    max_size: int | None = None,
 ) -> DataFrame:
     """All frequent itemsets per chunk: ``chunk, itemset, freq``.
 
@@ -236,11 +239,10 @@ def _levels(
         occurrences.join(level.select("chunk", "item", "id"), ["chunk", "item"])
     )
     light, lower, heavy = _set_heavy_aside(occurrences, need, heavy_basket)
-    nothing = F.lit(0).cast("long").alias("parent")
-    tails = light.select("chunk", "basket", "splits", nothing, F.col("item").alias("last"), "id")
+    rows = _heads_of_baskets(light)
     found = [level.select("chunk", "itemset", "freq")]
-    longer, size = None, 2
-    while True:
+    size = 2
+    while max_size is None or size <= max_size:
         allowed = None
         if within is not None:
             allowed = within.where(F.size("itemset") == size).withColumn("chunk", F.lit(0))
@@ -250,9 +252,9 @@ def _levels(
             allowed = stage(_by_parent(allowed, level))
             if allowed.isEmpty():
                 break
-        if longer is not None:
-            tails = stage(longer.join(level.select(*_SET, "id"), _SET))
-        longer = _grow(tails)
+        if size > 2:
+            rows = stage(_heads(rows, level))
+        longer = rows.select("chunk", F.col("id").alias("parent"), F.explode("rest").alias("last"))
         if allowed is not None:
             longer = longer.join(allowed, _SET, "left_semi")
         parents = level.select("chunk", F.col("id").alias("parent"), F.col("itemset").alias("head"))
@@ -296,7 +298,8 @@ def _set_heavy_aside(
         .where(F.col("place") <= F.expr("(need - 1) div 2"))
         .select("chunk", "basket")
     )
-    splits = F.ceil(F.col("freq") / heavy_basket).cast("int").alias("splits")
+    share = F.col("freq").cast("double") / heavy_basket
+    splits = F.ceil(share * share).cast("int").alias("splits")
     light = stage(
         occurrences.join(heavy, ["chunk", "basket"], "left_anti")
         .join(large.select("chunk", "basket", splits), ["chunk", "basket"], "left")
@@ -318,17 +321,47 @@ def _with_heavy(
     return _at_least(both.agg(F.sum("freq").alias("freq")), need)
 
 
-def _grow(tails: DataFrame) -> DataFrame:
-    """Join the occurrences of a basket that share their parent."""
-    keys = ["chunk", "basket", "parent"]
-    left = tails.select(*keys, F.col("last").alias("lower"), "id", "splits")
-    right = tails.select(*keys, F.col("last").alias("upper"), "splits")
-    ordered = F.col("lower") < F.col("upper")
-    return join_within(left, right, keys, ["lower"], ordered, F.col("splits")).select(
-        "a.chunk", "a.basket", "a.splits", F.col("id").alias("parent"), F.col("upper").alias("last")
+def _heads_of_baskets(light: DataFrame) -> DataFrame:
+    """A row for each frequent item of a basket with items after it: ``chunk, id, rest``.
+
+    Baskets are shuffled here only. The rows of a basket with many items are made in as many
+    pieces as its square holds squares of the bound, on different tasks.
+    """
+    member = F.struct("item", "id").alias("member")
+    baskets = (
+        light.select("chunk", "basket", "splits", member)
+        .groupBy("chunk", "basket", "splits")
+        .agg(F.array_sort(F.collect_list("member")).alias("items"))
+        .where(F.size("items") > 1)
+    )
+    baskets = stage(baskets)
+    whole = baskets.where(F.col("splits") == 1).withColumn("piece", F.lit(0))
+    pieces = F.explode(F.sequence(F.lit(0), F.col("splits") - 1)).alias("piece")
+    cut = baskets.where(F.col("splits") > 1).select("*", pieces).repartition("chunk", "basket", "piece")
+    return (
+        whole.unionByName(cut)
+        .select("chunk", "splits", "piece", "items", F.posexplode("items").alias("place", "member"))
+        .where((F.col("place") % F.col("splits") == F.col("piece")) & (F.col("place") < F.size("items") - 1))
+        .select("chunk", "member.id", _after("place", F.col("items.item")).alias("rest"))
+    )
+
+
+def _heads(rows: DataFrame, level: DataFrame) -> DataFrame:
+    """The rows of sets one item longer, those of ``level``, with items after them."""
+    return (
+        rows.select("chunk", F.col("id").alias("parent"), "rest", F.posexplode("rest").alias("place", "last"))
+        .where(F.col("place") < F.size("rest") - 1)
+        .select(*_SET, _after("place", F.col("rest")).alias("rest"))
+        .join(level.select(*_SET, "id"), _SET)
+        .select("chunk", "id", "rest")
     )
 
 
+def _after(place: str, items: Column) -> Column:
+    """The items after a place, counted from 0."""
+    return F.slice(items, F.col(place) + 2, F.size(items))
+
+
 def _by_parent(sets: DataFrame, level: DataFrame) -> DataFrame:
     """Itemsets as the number of all but their last item, and that item."""
     head = F.slice("itemset", 1, F.size("itemset") - 1)
@@ -377,15 +410,32 @@ def _candidates(level: DataFrame) -> DataFrame:
 
 
 def _contained(sets: DataFrame, occurrences: DataFrame) -> DataFrame:
-    """Baskets of the same chunk that hold each set: ``chunk, itemset, freq``."""
+    """Baskets of the same chunk that hold each set: ``chunk, itemset, freq``.
+
+    A set meets the baskets of its rarest item alone, of which a common one is split by its
+    count; the other items are looked for in the basket's array, which has the items of the
+    sets only.
+    """
+    key = ["chunk", "item"]
     sets = stage(sets.withColumn("id", F.monotonically_increasing_id()))
-    by_item = sets.select(
-        "chunk", "id", F.size("itemset").alias("size"), F.explode("itemset").alias("item")
+    wanted = sets.select("chunk", F.explode("itemset").alias("item")).distinct()
+    occurrences = stage(occurrences.select("chunk", "basket", "item").join(wanted, key, "left_semi"))
+    counts = stage(occurrences.groupBy(*key).agg(F.count(F.lit(1)).alias("n_rows")))
+    # An item that no basket holds drops its set: fewer items than the set are counted then.
+    rarest = (
+        sets.select("chunk", "id", "itemset", F.explode("itemset").alias("item"))
+        .join(counts, key)
+        .groupBy("chunk", "id", "itemset")
+        .agg(F.count(F.lit(1)).alias("known"), F.min_by("item", F.struct("n_rows", "item")).alias("item"))
+        .where(F.col("known") == F.size("itemset"))
+        .drop("known")
     )
+    heavy = heavy_of(counts)
+    spread = salted(occurrences, heavy, key, ["basket"])
+    arrays = occurrences.groupBy("chunk", "basket").agg(F.collect_list("item").alias("items"))
     held = (
-        by_item.join(occurrences.select("chunk", "basket", "item"), ["chunk", "item"])
-        .groupBy("id", "size", "basket")
-        .agg(F.count(F.lit(1)).alias("hits"))
-        .where(F.col("hits") == F.col("size"))
+        spread.join(replicated(rarest, heavy, key), [*key, "salt"])
+        .join(arrays, ["chunk", "basket"])
+        .where(F.size(F.array_except("itemset", "items")) == 0)
     )
     return _count(held, "id").join(sets, "id").select("chunk", "itemset", "freq")

@@ -73,6 +73,48 @@ def test_local_threshold_and_repeated_singles(spark):
     assert [tuple(r.itemset) for r in found] == [("x",)]
 
 
+def test_max_size(b):
+    wanted = {k: v for k, v in brute(2).items() if len(k) <= 2}
+    assert as_dict(itemsets.frequent_itemsets(b, 2, max_size=2)) == wanted
+
+
+def test_baskets_cut_into_pieces(spark):
+    """With a need of 1 no basket is left out of pair making; large ones are cut."""
+    bags = {1: "abcdefg", 2: "abcdef", 3: "ag", 4: "bcg"}
+    b = spark.createDataFrame([(k, x) for k, v in bags.items() for x in v], "basket_id long, item string")
+    found = as_dict(itemsets.frequent_itemsets(b, 1, heavy_basket=2))
+    items = sorted(set("".join(bags.values())))
+    every = [c for k in range(1, len(items) + 1) for c in combinations(items, k)]
+    counts = {c: sum(set(c) <= set(v) for v in bags.values()) for c in every}
+    assert found == {c: n for c, n in counts.items() if n}
+
+
+def test_containment_with_an_item_in_all_baskets(spark):
+    """The rarest item decides which baskets are looked at; "a" is in all and heavy."""
+    b = spark.range(12_000).selectExpr("id AS basket_id", "explode(array('a', concat('x', id % 3))) AS item")
+    sets = [["a"], ["a", "x0"], ["a", "x2"], ["x0", "x1"], ["a", "none"]]
+    df = spark.createDataFrame([(s,) for s in sets], "itemset array<string>")
+    found = as_dict(itemsets.count_candidates(df, b))
+    assert found == {("a",): 12_000, ("a", "x0"): 4_000, ("a", "x2"): 4_000}
+
+
+def test_baskets_are_shuffled_once(spark, b, monkeypatch):
+    """Levels above pairs exchange itemsets with counts, and no basket."""
+    plans = []
+    write = itemsets.stage
+
+    def stage(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df)
+
+    monkeypatch.setattr(itemsets, "stage", stage)
+    itemsets.frequent_itemsets(b, 2)
+    by_basket = [p for p in plans if "Aggregate [chunk" in p and "collect_list" in p]
+    assert len(by_basket) == 1
+    heads = [p for p in plans if "posexplode(rest" in p]
+    assert heads and not any("Aggregate" in p for p in heads)
+
+
 def test_support_exact(b):
     counts = brute(1)
     s = counts[("a", "b")]
