@@ -4,11 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+#: Folders staged in the scope that is open, to be freed at its end.
+_STAGED: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
 
 def build_session(app: str = "orebed", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators are written for.
@@ -47,6 +53,24 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Free the tables staged within when the scope ends.
+
+    Results read them, so write results before the end. Scopes may be nested; each frees
+    its own. Without a scope staged tables stay until the shared folder is cleaned.
+    """
+    folders: list[str] = []
+    token = _STAGED.set(folders)
+    try:
+        yield
+    finally:
+        _STAGED.reset(token)
+        for folder in folders:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
@@ -55,5 +79,8 @@ def stage(df: DataFrame) -> DataFrame:
     does not.
     """
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/orebed-{uuid.uuid4().hex}"
+    folders = _STAGED.get()
+    if folders is not None:
+        folders.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+from pathlib import Path
 
 import pytest
 
@@ -84,3 +85,16 @@ def test_heavy_keys_and_split_join(spark):
         skew.join_within(df, df, ["k"], ["i"], ordered),
     ):
         assert sorted(joined.groupBy("a.k").count().collect()) == sorted(expected)
+
+
+def test_staged_tables_are_freed(spark, tmp_path):
+    folder = Path(session.shared_folder(spark))
+    before = set(folder.iterdir())
+    with session.staging(spark):
+        outer = session.stage(spark.range(3).toDF("id"))
+        with session.staging(spark):
+            session.stage(spark.range(4).toDF("id"))
+        assert len(set(folder.iterdir()) - before) == 1
+        outer.write.parquet(str(tmp_path / "out"))
+    assert set(folder.iterdir()) == before
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 3
