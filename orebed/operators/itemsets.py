@@ -198,9 +198,12 @@ def frequent_itemsets_fpgrowth(
 
 
 def _need(b: DataFrame, support: int) -> DataFrame:
-    """The support asked for, as the one row of a single chunk."""
+    """The support asked for, as the one row of a single chunk.
+
+    Written, since a join with a literal chunk would become a nested loop.
+    """
     need = F.lit(support).cast("long").alias("need")
-    return b.sparkSession.range(1).select(F.lit(0).alias("chunk"), need)
+    return stage(b.sparkSession.range(1).select(F.lit(0).alias("chunk"), need))
 
 
 def _occurrences(b: DataFrame, chunk: Column, basket: str, item: str) -> DataFrame:
