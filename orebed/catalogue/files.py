@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from orebed.catalogue.registry import ORACLES, query, rounded
 from orebed.fixtures import view, with_views
@@ -81,3 +82,19 @@ def unlabelled_ratings(spark, sf_dir):
 def rating_lines(spark, sf_dir):
     columns = (F.col(c) for c in ("user_id", "business_id", "split"))
     return view(spark, sf_dir, "ratings").select(scalar.row_text(*columns).alias("line"))
+
+
+@query(
+    "default_key",
+    with_views("reviews", "business")
+    + """SELECT cast(business_id AS varchar) AS business_id,
+    CASE WHEN is_open = 1 THEN city ELSE '' END AS city FROM business""",
+)
+def default_key(spark, sf_dir):
+    """A key that some lines lack, with the empty text as its default."""
+    folder = _new_folder(spark)
+    known = F.when(F.col("is_open") == 1, F.col("city")).alias("city")
+    writers.write_json(view(spark, sf_dir, "business").select("business_id", known), folder)
+    schema = StructType().add("business_id", "string").add("city", "string")
+    back = readers.read_json_lines(spark, folder, schema, ("business_id",))
+    return back.withColumn("city", F.coalesce("city", F.lit("")))

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orebed.catalogue.registry import ORACLES, query
 from orebed.fixtures import view, with_views
 from orebed.functions import scalar
-from orebed.operators import itemsets
-from orebed.session import stage
+from orebed.operators import encode, itemsets
+from orebed.session import shared_folder, stage
 from orebed.sources import writers
 
 # One basket in so many has to hold a frequent itemset. The SQL checks list sets of one to three items; larger
@@ -164,6 +166,28 @@ def itemset_report(spark, sf_dir):
     return writers.itemset_report(*sections).drop("itemset")
 
 
+@query(
+    "itemset_report_lines",
+    f"""SELECT line, row_number() OVER (ORDER BY section, size, kind, line) - 1 AS position
+    FROM ({ORACLES["itemset_report"]}) AS t""",
+)
+def itemset_report_lines(spark, sf_dir):
+    """The report as a text file, its lines numbered as they stand there."""
+    b = _big_baskets(spark, sf_dir)
+    candidates, frequent = itemsets.son(b, _support(b), chunk=_chunk())
+    folder = f"{shared_folder(spark).rstrip('/')}/orebed-{uuid.uuid4().hex}"
+    writers.write_itemset_report(
+        writers.itemset_report(("Candidates:", candidates), ("Frequent Itemsets:", frequent)), folder
+    )
+    lines = spark.read.text(folder).select(
+        F.col("value").alias("line"),
+        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),
+    )
+    return encode.numbered(stage(lines), "file", "block", "at").select("line", "position")
+
+
 @query(
     "itemset_candidates",
     with_views("big_tx")

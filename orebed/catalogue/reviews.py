@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from orebed.catalogue.registry import ORACLES, query, rounded
 from orebed.fixtures import view, with_views
-from orebed.operators import cities, counts, layout
+from orebed.operators import cities, counts, encode, layout
 from orebed.session import stage
 
 _TOP = "SELECT {key}, count(*) AS n FROM reviews GROUP BY {key} ORDER BY n DESC, {key} LIMIT 10"
@@ -101,3 +101,13 @@ def city_mean_stars(spark, sf_dir):
 def top_cities(spark, sf_dir):
     means = city_mean_stars(spark, sf_dir)
     return cities.sorted_cities(means).limit(10)
+
+
+@query(
+    "sorted_city_means",
+    with_views("reviews", "business")
+    + f"""SELECT city, stars, row_number() OVER (ORDER BY stars DESC, city NULLS FIRST) - 1 AS position
+    FROM ({_CITY}) AS t""",
+)
+def sorted_city_means(spark, sf_dir):
+    return encode.in_order(cities.sorted_cities(city_mean_stars(spark, sf_dir)))
