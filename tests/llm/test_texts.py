@@ -122,7 +122,9 @@ def test_confirmed():
     assert kinds("x " + B64 + " y") == ["key"]
     assert kinds(KEY.hex() + "00" * 0) == ["key"]
     assert kinds("see " + TOKEN + ".") == ["token"]
+    assert kinds("internal1.part." + TOKEN) == ["token"]
     assert "pem" in kinds(f"-----BEGIN PRIVATE KEY-----\n{B64}\n-----END PRIVATE KEY-----")
+    assert "pem" in kinds(f"-----BEGIN PRIVATE KEY-----\\n{B64[:64]}\\n{B64[64:]}\\n-----END PRIVATE KEY-----")
     assert kinds(base64.b64encode(b"db: password=hunter2hunter2 now").decode()) == ["encoded"]
 
 
