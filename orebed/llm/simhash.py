@@ -235,13 +235,15 @@ def keep_one(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text
     The rows are written once with a number of their own, so that repeated ids stay apart; only
     numbers and fingerprints are grouped, and the texts are joined to the kept numbers.
     """
-    columns = documents.columns
-    staged = stage(documents.select("*", F.monotonically_increasing_id().alias("__row")))
-    prints = stage(_prints(staged, ["__row", id_col], text_col, shingle))
-    order = F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).alias("i"), F.col("__row").alias("r"))
+    row = "__row"
+    while row in map(str.lower, documents.columns):
+        row += "_"
+    staged = stage(documents.select("*", F.monotonically_increasing_id().alias(row)))
+    prints = stage(_prints(staged, [row, id_col], text_col, shingle))
+    order = F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).alias("i"), F.col(row).alias("r"))
     least = prints.groupBy("fp").agg(F.min(order).alias("first"))
     rooted = least.join(groups(prints).withColumnRenamed("node", "fp"), "fp", "left")
     kept = rooted.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
-    kept = kept.select(F.col("first.r").alias("__row"))
+    kept = kept.select(F.col("first.r").alias(row))
     # Always by a shuffle: the kept numbers grow with the documents.
-    return staged.join(kept.hint("merge"), "__row", "left_semi").select(*columns)
+    return staged.join(kept.hint("merge"), row, "left_semi").drop(row)

@@ -129,6 +129,9 @@ def test_keeps_one_row_of_each_group(spark):
     kept = simhash.keep_one(df)
     assert kept.columns == df.columns
     assert sorted(map(repr, (r["doc_id"] for r in kept.collect()))) == ["1", "3", "8", "None"]
+    clash = df.selectExpr("*", "1 AS __Row", "2 AS `a.b`")
+    kept = simhash.keep_one(clash)
+    assert kept.columns == clash.columns and kept.count() == 4
 
 
 def test_empty_table(spark):
