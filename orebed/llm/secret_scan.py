@@ -31,7 +31,8 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 _HEX = re.compile(r"[0-9a-f]{32,}")
 _TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(ey[A-Za-z0-9_-]{6,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)(?![A-Za-z0-9_-])")
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}?)PRIVATE KEY-----([^-]*)-----END \1PRIVATE KEY-----")
+_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}?)PRIVATE KEY-----((?:[^-]++|-(?!----))*+)-----END \1PRIVATE KEY-----")
+_HEADER = re.compile(r"(?:Proc-Type|DEK-Info)[ \t]*:[ \t]*\S+")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{32,}={0,2}")
 _LONG_HEX = re.compile(r"[0-9A-Fa-f]{64,}")
 
@@ -167,7 +168,8 @@ def confirmed_spans(text: str) -> Iterator[tuple[str, int, int]]:
         for m in _PEM.finditer(text):
             # Line ends may be written out, as in a JSON string.
             body = m[2].replace("\\r", "").replace("\\n", "\n")
-            lines = [x for x in body.split("\n") if ":" not in x]
+            # Headers may share a line with the rest, where line ends have become spaces.
+            lines = [x for x in _HEADER.sub("", body).split("\n") if ":" not in x]
             data = from_base64("".join("".join(lines).split()))
             locked = "ENCRYPTED" in m[1] or "ENCRYPTED" in m[2]
             if data and (is_der_key(data) or is_openssh_key(data) or locked and len(data) >= 32):

@@ -128,6 +128,27 @@ def test_confirmed():
     assert kinds(base64.b64encode(b"db: password=hunter2hunter2 now").decode()) == ["encoded"]
 
 
+LOCKED = base64.b64encode(bytes(range(7, 199))).decode()
+LEGACY = f"""-----BEGIN RSA PRIVATE KEY-----
+Proc-Type: 4,ENCRYPTED
+DEK-Info: AES-128-CBC,0123456789ABCDEF0123456789ABCDEF
+
+{LOCKED[:64]}
+{LOCKED[64:128]}
+{LOCKED[128:192]}
+{LOCKED[192:]}
+-----END RSA PRIVATE KEY-----"""
+
+
+@pytest.mark.parametrize("block", [LEGACY, LEGACY.replace("\n", "\r\n"), LEGACY.replace("\n", "\\n"), LEGACY.replace("\n", " ")])
+def test_legacy_encrypted_keys(block):
+    text = "é see -----BEGIN RSA PRIVATE KEY----- and " + block + " there"
+    at = text.index(block)
+    assert ("pem", at, at + len(block)) in list(secret_scan.confirmed_spans(text))
+    assert secret_scan.masked(text.encode(), "[SECRET]").decode() == text.replace(block, "[SECRET]")
+    assert kinds(block.replace(LOCKED[:64], "no key, just words")) == []
+
+
 def test_not_confirmed():
     assert kinds(base64.b64encode(KEY[:-1]).decode()) == []
     assert kinds(base64.b64encode(KEY + b"\0").decode()) == []
