@@ -33,8 +33,16 @@ _HEX = re.compile(r"[0-9a-f]{32,}")
 _TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(ey[A-Za-z0-9_-]{6,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)(?![A-Za-z0-9_-])")
 _PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}?)PRIVATE KEY-----((?:[^-]++|-(?!----))*+)-----END \1PRIVATE KEY-----")
 _HEADER = re.compile(r"(?:Proc-Type|DEK-Info)[ \t]*:[ \t]*\S+")
-_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{32,}={0,2}")
-_LONG_HEX = re.compile(r"[0-9A-Fa-f]{64,}")
+# The shortest assignment has 14 bytes: 19 characters in base64, 28 in hex.
+_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{19,}={0,2}")
+_LONG_HEX = re.compile(r"[0-9A-Fa-f]{28,}")
+#: Runs that follow each other line by line; line ends may be written out, as in a JSON string.
+_BREAK = r"[ \t]*(?:\r?\n|(?:\\r)?\\n)[ \t]*"
+_LINES = re.compile(r"[A-Za-z0-9+/_-]{16,}+(?:" + _BREAK + r"[A-Za-z0-9+/_-]++={0,2})+")
+_LINE = re.compile(r"(?:^|" + _BREAK + r")([A-Za-z0-9+/_-]+={0,2})")
+
+#: Shortest line of a wrapped candidate.
+_LEAST_LINE = 16
 
 #: Deepest nesting that a key encoding is followed into.
 _DEPTH = 8
@@ -179,9 +187,39 @@ def confirmed_spans(text: str) -> Iterator[tuple[str, int, int]]:
         if kind:
             yield kind, m.start(), m.end()
     for m in _LONG_HEX.finditer(text):
-        kind = _kind(bytes.fromhex(m[0])) if len(m[0]) % 2 == 0 else None
+        kind = _kind(_from_hex(m[0]))
         if kind:
             yield kind, m.start(), m.end()
+    yield from _wrapped_spans(text)
+
+
+def _from_hex(text: str) -> bytes | None:
+    try:
+        return bytes.fromhex(text)
+    except ValueError:
+        return None
+
+
+def _wrapped_spans(text: str) -> Iterator[tuple[str, int, int]]:
+    """Candidates over several lines of one length, and a last line that may be shorter."""
+    for m in _LINES.finditer(text):
+        lines = [(x[1], m.start() + x.start(1), m.start() + x.end(1)) for x in _LINE.finditer(m[0])]
+        i = 0
+        while i < len(lines):
+            width, j = len(lines[i][0]), i + 1
+            while j < len(lines) and len(lines[j][0]) == width and lines[j - 1][0][-1] != "=":
+                j += 1
+            ends = [j]
+            if j < len(lines) and len(lines[j][0]) < width and lines[j - 1][0][-1] != "=":
+                ends = [j + 1, j]  # what is shorter may also be the next word
+            for end in ends if width >= _LEAST_LINE else []:
+                run = "".join(x for x, _, _ in lines[i:end])
+                kind = (_kind(from_base64(run)) or _kind(_from_hex(run))) if end > i + 1 else None
+                if kind:
+                    yield kind, lines[i][1], lines[end - 1][2]
+                    j = end
+                    break
+            i = j
 
 
 def _kind(data: bytes | None) -> str | None:

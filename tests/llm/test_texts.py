@@ -149,6 +149,44 @@ def test_legacy_encrypted_keys(block):
     assert kinds(block.replace(LOCKED[:64], "no key, just words")) == []
 
 
+SHORT = b"token:abcdefgh"
+
+
+@pytest.mark.parametrize("data", [SHORT, b"password=hunter2-x9"])
+def test_short_assignments_are_decoded(data):
+    code = base64.b64encode(data).decode()
+    for run in (code, code.rstrip("="), data.hex(), data.hex().upper()):
+        assert list(secret_scan.confirmed_spans(f"see {run}, é")) == [("encoded", 4, 4 + len(run))]
+    assert kinds(base64.b64encode(b"token:abcdefg").decode() + " " + SHORT[:-1].hex()) == []
+
+
+NUMBERS = b"\x02\x01\x00" + (b"\x02\x28" + bytes(range(1, 41))) * 7
+RSA = b"\x30\x82" + len(NUMBERS).to_bytes(2, "big") + NUMBERS
+PART = lambda x: len(x).to_bytes(4, "big") + x
+OPENSSH = b"openssh-key-v1\0" + PART(b"none") + PART(b"none") + PART(b"") + (1).to_bytes(4, "big") + PART(bytes(51)) + PART(bytes(range(136)))
+
+
+def wrapped(code, width, end):
+    return end.join(code[i : i + width] for i in range(0, len(code), width))
+
+
+@pytest.mark.parametrize("data", [RSA, OPENSSH])
+@pytest.mark.parametrize("width", [16, 60, 64, 70, 76])
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\\n", "\n    "])
+def test_wrapped_keys(data, width, end):
+    for code in (base64.b64encode(data).decode(), data.hex()):
+        block = wrapped(code, width, end)
+        for after in ("", end + "and so on", "\n\n" + "x" * width):
+            found = list(secret_scan.confirmed_spans("é: " + block + after))
+            assert found == [("key", 3, 3 + len(block))]
+        assert kinds(wrapped(code, width, "\n")[:-4]) == []
+
+
+def test_last_line_of_full_length():
+    block = wrapped(base64.b64encode(b"cfg: password=hunter2-x9").decode(), 16, "\n")
+    assert list(secret_scan.confirmed_spans(block + "\nword")) == [("encoded", 0, len(block))]
+
+
 def test_not_confirmed():
     assert kinds(base64.b64encode(KEY[:-1]).decode()) == []
     assert kinds(base64.b64encode(KEY + b"\0").decode()) == []
