@@ -16,6 +16,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +39,12 @@ SAMPLE = 20_000
 SAMPLE_BYTES = 64_000_000
 PER_NODE = 64
 
+#: A split that leaves a child more than this share of its leaf's rows is the last one there.
+PROGRESS = 0.9
+
+#: Steps of a unit vector's components; vectors that agree in all of them have one direction.
+STEPS = 1e12
+
 #: Rows of a component that are compared with as many others at once.
 BLOCK = 2_048
 
@@ -149,26 +156,31 @@ def leaves(distinct: DataFrame, n: int, trees: int, leaf: int = LEAF, largest: i
 
 def _split_large(placed: DataFrame, largest: int) -> DataFrame:
     """Split leaves of more than ``largest`` vectors at the median of all their rows until none
-    is left, or until a split no longer makes the largest one smaller."""
-    keys, done, before = ["dim", "tree", "node"], None, None
+    is left but those that a split did not make smaller. Each leaf is judged alone."""
+    keys, done = ["dim", "tree", "node"], None
+    placed = placed.withColumn("whole", F.lit(None).cast("long"))
     while True:
-        sizes = stage(placed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
-        large = sizes.where(F.col("n") > largest)
-        top = large.agg(F.max("n")).first()[0]
-        if top is None or before is not None and top >= before:
-            return placed if done is None else done.unionByName(placed)
-        before = top
+        sizes = stage(placed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.max("whole").alias("whole")))
+        shrunk = F.col("whole").isNull() | (F.col("n") <= PROGRESS * F.col("whole"))
+        large = sizes.where((F.col("n") > largest) & shrunk)
+        if large.isEmpty():
+            return (placed if done is None else done.unionByName(placed)).drop("whole")
         small = placed.join(large.select(*keys), keys, "left_anti")
         done = small if done is None else done.unionByName(small)
-        projected = stage(placed.join(large.select(*keys), keys).mapInArrow(_projections, _LEAVES + ", p double"))
-        cuts = projected.groupBy(*keys).agg(F.percentile_approx("p", [0.5 - SPILL, 0.5 + SPILL], 1_000).alias("c"))
+        split = placed.drop("whole").join(large.select(*keys, F.col("n").alias("whole")), keys)
+        projected = stage(split.mapInArrow(_projections, _LEAVES + ", whole long, p double"))
+        bounds = F.percentile_approx("p", [0.5 - SPILL, 0.5 + SPILL], 1_000).alias("c")
+        cuts = projected.groupBy(*keys).agg(bounds, (F.min("p") == F.max("p")).alias("tied"))
+        # A leaf of ties only goes on whole, but once.
         sides = F.filter(
             F.array(
-                F.when(F.col("p") <= F.col("c")[1], F.col("node") * 2), F.when(F.col("p") >= F.col("c")[0], F.col("node") * 2 + 1)
+                F.when(F.col("tied") | (F.col("p") <= F.col("c")[1]), F.col("node") * 2),
+                F.when(~F.col("tied") & (F.col("p") >= F.col("c")[0]), F.col("node") * 2 + 1),
             ),
             lambda s: s.isNotNull(),
         )
-        placed = stage(projected.join(cuts, keys).withColumn("node", F.explode(sides)).select("dim", "tree", "node", "id", "v"))
+        placed = projected.join(cuts, keys).withColumn("node", F.explode(sides))
+        placed = stage(placed.select("dim", "tree", "node", "id", "v", "whole"))
 
 
 def _projections(batches):
@@ -181,6 +193,17 @@ def _projections(batches):
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p)], [*batch.schema.names, "p"])
 
 
+def _with_direction(batches):
+    """Batches ``id, v`` with the direction of each vector, the same for all its multiples."""
+    for batch in batches:
+        sizes = pc.list_value_length(batch.column(1)).to_numpy()
+        for dim in np.unique(sizes).tolist():
+            part = batch.filter(pa.array(sizes == dim))
+            steps = np.rint(unit(_matrix(part.column(1))) * STEPS).astype(np.int64)
+            ways = pa.array([x.tobytes() for x in steps], type=pa.binary())
+            yield pa.RecordBatch.from_arrays([*part.columns, ways], [*part.schema.names, "way"])
+
+
 def _near(x: np.ndarray, y: np.ndarray, least: float) -> np.ndarray:
     return x @ y.T >= least
 
@@ -233,15 +256,16 @@ def near_duplicates(
     component and link with nothing. Repeated ids are rows of their own. An empty
     table gives none.
 
-    Equal vectors are one vector with a count, so copies make no pairs. Neither do
+    Vectors of one direction are one vector with a count, so copies make no pairs. Neither do
     leaves or components: a leaf sends one link per vector, a component's blocks one count per vector.
     """
     source = vectors.select(id_col, vector_col)
     mark = F.col(id_col).isNotNull() & usable(vector_col)
     rows = source.where(mark).select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
-    classes = rows.groupBy("v").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
+    rows = rows.mapInArrow(_with_direction, f"id {rows.schema['id'].dataType.simpleString()}, v array<double>, way binary")
+    classes = rows.groupBy("way").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.min("v").alias("v"))
     # A repeated id with two vectors may be the least of both: classes have numbers of their own.
-    classes = stage(classes.select(F.monotonically_increasing_id().alias("class"), "id", "copies", F.size("v").alias("dim"), "v"))
+    classes = stage(classes.select(F.monotonically_increasing_id().alias("class"), "id", "copies", F.size("v").alias("dim"), "v", "way"))
     distinct = classes.select(F.col("class").alias("id"), "dim", "v")
     placed = leaves(distinct, distinct.count(), trees, leaf, largest)
 
@@ -252,10 +276,10 @@ def near_duplicates(
 
     links = placed.groupBy("dim", "tree", "node").applyInArrow(compare, "a long, b long")
     rooted = components(links)
-    members = stage(classes.join(rooted.withColumnRenamed("node", "class"), "class"))
+    members = stage(classes.drop("way").join(rooted.withColumnRenamed("node", "class"), "class"))
     counted = _count_links(members, least)
     known = classes.join(counted, "class", "left").select(
-        "v",
+        "way",
         F.coalesce("n", F.lit(0)).alias("__others"),
         "copies",
         F.coalesce("root", "class").alias("__root"),
@@ -263,8 +287,8 @@ def near_duplicates(
     )
     known = stage(known)
     least_id = known.groupBy("__root").agg(F.min("__id").alias("__component"))
-    known = known.join(least_id, "__root").select("v", "__others", "copies", "__component")
-    good = rows.join(known, "v").select(
+    known = known.join(least_id, "__root").select("way", "__others", "copies", "__component")
+    good = rows.drop("v").join(known, "way").select(
         F.col("id").alias(id_col),
         (F.col("__others") + F.col("copies") - 1).alias("n_links"),
         F.col("__component").alias("component_id"),

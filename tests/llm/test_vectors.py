@@ -96,3 +96,34 @@ def test_all_the_same(spark):
     df = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(500)], "vec_id long, embedding array<float>")
     found = vectors.near_duplicates(df, leaf=16, largest=32).collect()
     assert {(r["n_links"], r["component_id"]) for r in found} == {(499, 0)}
+
+
+def test_a_leaf_of_ties_does_not_end_the_splitting(spark):
+    rng = np.random.default_rng(3)
+    rows = [(4, 0, 2, i, [float(i + 1)] * 4) for i in range(400)]
+    rows += [(4, 0, 3, 1_000 + i, rng.standard_normal(4).tolist()) for i in range(300)]
+    df = spark.createDataFrame(rows, "dim int, tree int, node long, id long, v array<double>")
+    out = vectors._split_large(df, 48)
+    assert out.columns == df.columns
+    sizes: dict = {}
+    for r in out.collect():
+        sizes.setdefault((r["id"] < 1_000, r["node"]), set()).add(r["id"])
+    assert max(len(v) for (tied, _), v in sizes.items() if not tied) <= 48
+    assert set().union(*sizes.values()) == {r[3] for r in rows}
+
+
+def test_multiples_are_one_vector(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.standard_normal((60, 8)))]
+    rows += [(100 + i, [x * (i + 1) / 7 for x in rows[5][1]]) for i in range(200)]
+    seen, plain = [], vectors.leaves
+
+    def leaves(distinct, n, *rest):
+        seen.append(n)
+        return plain(distinct, n, *rest)
+
+    monkeypatch.setattr(vectors, "leaves", leaves)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = vectors.near_duplicates(df, leaf=16, largest=32).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in found) == sorted(brute(rows))
+    assert seen[0] < 70
