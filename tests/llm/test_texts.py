@@ -74,6 +74,15 @@ def test_no_benchmark_and_no_documents(spark):
     assert decontaminate.find(docs.limit(0), spark.createDataFrame(ITEMS, "item_id long, text string")).count() == 0
 
 
+def test_copies_of_an_item_are_one(spark):
+    items = spark.createDataFrame([(2, LONG)] * 300 + [(i, f"{LONG} {i}") for i in range(10, 30)], "item_id long, text string")
+    shards = [x.collect() for x in decontaminate._shards(items, "item_id", "text", 1_000)]
+    assert sum(map(len, shards)) == 21 and len(shards) == 2
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string")
+    found = decontaminate.find(docs.where("doc_id = 1"), items, shard_bytes=1_000).first()
+    assert len(found["hits"]) == 13 and len(found["items"]) == 21
+
+
 def test_contaminated_documents_go(spark):
     docs = spark.createDataFrame([(*d, None) for d in DOCS], "doc_id long, text string, hits int")
     kept = decontaminate.drop_contaminated(docs, spark.createDataFrame(ITEMS, "item_id long, text string"))
