@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +12,10 @@ from orebed.llm import (
     decontaminate,
     html_text,
     langid,
+    lexical_search,
+    line_dedup,
     packing,
+    periodic_runs,
     quality,
     secret_scan,
     simhash,
@@ -182,3 +187,76 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).drop("fp")
+
+
+def planted_repeats(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """A tenth of the documents repeat a part of themselves from a place on; those without an id are left as they are."""
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h % 10 or not words:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a : a + p] * -(-(n - a) // p))[: n - a]
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find(table(spark, sf_dir, "documents"), change=planted_repeats)
+    key = lambda r: F.struct(-r["length"], r["start"], r["period"], r["length"])
+    best = F.array_min(F.transform("runs", key))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    text = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    best = found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *(F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")),
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(text, 256).alias("runs_sha256"),
+        "collapsed_sha256",
+    )
+    return best
+
+
+_SPACE = "concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))"
+ORACLES["op12_line_dedup"] = f"""WITH lines AS (SELECT n, doc_id, generate_subscripts(l, 1) AS i, unnest(l) AS line FROM
+        (SELECT row_number() OVER () AS n, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),
+    keyed AS (SELECT n, doc_id, i, line, {_LOWER.format(f"trim(line, {_SPACE})")} AS k FROM lines),
+    repeated AS (SELECT k, min(doc_id) AS first_doc FROM keyed WHERE length(k) >= 10
+        GROUP BY k HAVING count(DISTINCT doc_id) > 1),
+    judged AS (SELECT n, doc_id, i, line, first_doc IS NOT NULL AND first_doc <> doc_id AS gone
+        FROM keyed LEFT JOIN repeated USING (k))
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+    FROM judged GROUP BY n, doc_id"""
+
+
+@query
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    found = line_dedup.dedupe(documents, line_dedup.insert(documents))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_TERMS = f"regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_TERM}')"
+ORACLES["op13_lexical_search"] = f"""WITH
+    d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS t FROM documents),
+    b AS (SELECT DISTINCT q, item_id, unnest(t) AS term FROM
+        (SELECT row_number() OVER () AS q, item_id, {_TERMS} AS t FROM benchmark)),
+    size AS (SELECT count(*) AS n_docs, sum(len(t)) AS total FROM d WHERE len(t) > 0),
+    held AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(t) AS n, unnest(t) AS term FROM d)
+        WHERE term IN (SELECT term FROM b) GROUP BY r, doc_id, n, term),
+    weights AS (SELECT term, cast(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS bigint) AS w
+        FROM held, size GROUP BY term, n_docs),
+    scored AS (SELECT q, item_id, r, doc_id, cast(sum(w * ((1000000000 * tf)
+            // (1000 * tf + 20 * (50 + (50 * n * n_docs) // total)))) AS bigint) AS score
+        FROM b JOIN weights USING (term) JOIN held USING (term), size GROUP BY q, item_id, r, doc_id),
+    ranked AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank
+        FROM scored WHERE score > 0)
+    SELECT item_id, cast(rank AS integer) AS rank, doc_id, score FROM ranked WHERE rank <= 50"""
+
+
+@query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
