@@ -7,7 +7,7 @@ the words before and after the cut agree with those one period later, so a tile
 runs around its cut. A run of period ``q`` and at least ``4 q`` words has a cut with a whole period and a gram of words
 to its right, so it is found; from a cut to the next such cut its fragments overlap by ``q`` words or
 more, so joining fragments of one document and period that overlap so much gives the whole run. A tile is only sent if the gram
-at its cut occurs again at a distance of the octave, without which no run of it has that cut.
+at its cut is met three times at a distance of the octave, without which no run of it has that cut; neighbouring tiles travel in one strip.
 
 Fragments are shuffled by document and period, and of equal stretches the smallest period stays: in a
 stretch of four periods any smaller period divides it (Fine and Wilf) and has the same ends.
@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -35,8 +36,9 @@ LEAST_PERIODS = 4
 #: Words compared at a cut before its tile is sent.
 GRAM = 8
 
-#: Words in the tiles of one Arrow batch; a larger tile comes alone.
-TILE_WORDS = 500_000
+#: Words in a strip of neighbouring tiles, and in the strips of one Arrow batch; a larger one comes alone.
+STRIP_WORDS = 2048
+BATCH_WORDS = 500_000
 
 _HASH = np.uint64(0x9E3779B97F4A7C15)
 
@@ -47,7 +49,7 @@ _FIELDS = [
     ("words", pa.binary(), "binary"),
     ("octave", pa.int32(), "int"),
     ("cut", pa.int64(), "long"),
-    ("first", pa.int64(), "long"),
+    ("last_cut", pa.int64(), "long"),
     ("tile", pa.binary(), "binary"),
 ]
 
@@ -69,6 +71,18 @@ def z_function(s: list) -> list[int]:
     return z
 
 
+@lru_cache(maxsize=100_000)
+def _prime_factors(n: int) -> tuple[int, ...]:
+    found, r = [], 2
+    while r * r <= n:
+        if n % r == 0:
+            found.append(r)
+            while n % r == 0:
+                n //= r
+        r += 1
+    return tuple(found + [n] if n > 1 else found)
+
+
 def octave_step(octave: int) -> int:
     """The distance of the cuts for the periods ``[2^octave, 2^(octave+1))``."""
     return 2 << octave
@@ -90,7 +104,8 @@ def solve_tile(tile: np.ndarray, first: int, cut: int, octave: int, n: int) -> l
     found = []
     for q in range(least, most + 1):
         forward = after[q]
-        if forward < min(least, GRAM):
+        # What is repeats of a part of the period is a run of that part.
+        if forward < min(least, GRAM) or any(after[q // r] >= q - q // r for r in _prime_factors(q)):
             continue
         back = ends[len(before) + 1 + most - q] if before else 0
         start, end = cut - back, cut + q + forward
@@ -100,15 +115,24 @@ def solve_tile(tile: np.ndarray, first: int, cut: int, octave: int, n: int) -> l
     return found
 
 
+def _agree(words: np.ndarray, at: int, p: int, most: int) -> int:
+    """How many words from ``at`` on, ``most`` at most, equal those ``p`` later."""
+    same = words[at : at + most] == words[at + p : at + p + most]
+    return len(same) if same.all() else int(same.argmin())
+
+
 def cuts_to_solve(
     words: np.ndarray, starts: np.ndarray, ends: np.ndarray
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Per octave the documents and cuts, ``(octave, document, cut)``, at which a gram recurs.
+    """Per octave the documents and cuts, ``(octave, document, cut)``, that a run may have.
 
-    ``words`` are the numbered words of several documents, which lie at ``starts`` to ``ends``.
+    ``words`` are the numbered words of several documents, which lie at ``starts`` to ``ends``. A run of period ``q`` with a
+    cut has the cut's gram three times, ``q`` apart, and the ``q`` words from the cut on are not themselves repeats of
+    fewer: a cut of one octave is one of all lower ones too, so such smaller periods were met at it before.
     """
     grams, size, octave = words.astype(np.uint64), 1, 0
     sizes = ends - starts
+    met: dict[int, list[int]] = {}
     while True:
         least = 1 << octave
         docs = np.flatnonzero(sizes >= max(LEAST_WORDS, LEAST_PERIODS * least))
@@ -123,20 +147,78 @@ def cuts_to_solve(
         doc = np.repeat(docs, counts)
         cut = (np.arange(len(doc)) - np.repeat(np.cumsum(counts) - counts, counts)) * step
         at, room = starts[doc] + cut, sizes[doc] - cut - size
-        hit = np.zeros(len(doc), bool)
+        cuts, periods = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         # Whichever is the shorter loop: over the octave's periods, or over the cuts.
         if least <= len(doc):
             for q in range(least, 2 * least):
                 can = np.flatnonzero(room >= q)
-                hit[can] |= grams[at[can]] == grams[at[can] + q]
+                can = can[grams[at[can]] == grams[at[can] + q]]
+                cuts.append(can)
+                periods.append(np.full(len(can), q))
         else:
             for i in np.flatnonzero(room >= least).tolist():
-                p = at[i]
-                hit[i] = (grams[p + least : p + min(2 * least - 1, room[i]) + 1] == grams[p]).any()
+                near = grams[at[i] + least : at[i] + min(2 * least - 1, room[i]) + 1]
+                own = np.flatnonzero(near == grams[at[i]])
+                cuts.append(np.full(len(own), i))
+                periods.append(own + least)
+        i, q = np.concatenate(cuts), np.concatenate(periods)
+        here, end = at[i], len(grams) - 1
+        later = (room[i] >= 2 * q) & (grams[np.minimum(here + 2 * q, end)] == grams[here])
+        earlier = (cut[i] >= q) & (grams[np.maximum(here - q, 0)] == grams[here])
+        thrice = later | earlier
+        i, q = i[thrice], q[thrice]
+        order = np.lexsort((q, i))
+        i, q = i[order], q[order]
+        hit = np.zeros(len(doc), bool)
+        turns = np.r_[0, np.flatnonzero(np.diff(i)) + 1, len(i)]
+        for a, b in zip(turns[:-1].tolist(), turns[1:].tolist()):
+            if a < b:
+                place, own = int(at[i[a]]), q[a:b]
+                for p in met.get(place, ()):
+                    most = min(2 * least, int(ends[doc[i[a]]]) - place - p)
+                    own = own[(own % p != 0) | (_agree(words, place, p, most) < own - p)]
+                if len(own):
+                    met.setdefault(place, []).extend(own.tolist())
+                    hit[i[a]] = True
         yield octave, doc[hit], cut[hit]
         octave += 1
 
 
+def strips(octave: int, docs: np.ndarray, cuts: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """Neighbouring cuts of a document together, ``(document, first cut, last cut)``, so that their tiles lie in one strip of
+    ``STRIP_WORDS`` words or little more."""
+    step = octave_step(octave)
+    most = max(0, STRIP_WORDS // step - 4)
+    first = last = None
+    for d, cut in zip(docs.tolist(), cuts.tolist()):
+        if first is not None and d == doc and cut == last + step and cut - first <= most * step:
+            last = cut
+            continue
+        if first is not None:
+            yield doc, first, last
+        doc, first, last = d, cut, cut
+    if first is not None:
+        yield doc, first, last
+
+
+def solve_strip(
+    words: np.ndarray, first: int, cuts: tuple[int, int], octave: int, n: int
+) -> list[tuple[int, int, int]]:
+    """The fragments of the tiles of all cuts from one to another, those that overlap by a period joined."""
+    step = octave_step(octave)
+    found: dict[int, list[list[int]]] = defaultdict(list)
+    for cut in range(cuts[0], cuts[1] + 1, step):
+        a, b = max(0, cut - step), min(n, cut + 3 * step)
+        for q, start, end in solve_tile(words[a - first : b - first], a, cut, octave, n):
+            of_period = found[q]
+            if of_period and of_period[-1][1] - start >= q:
+                of_period[-1][1] = max(end, of_period[-1][1])
+                of_period[-1][0] = min(start, of_period[-1][0])
+            else:
+                of_period.append([start, end])
+    return [(q, start, end) for q, pieces in found.items() for start, end in pieces]
+
+
 def _document_and_tile_rows(source: DataFrame, change: Callable | None) -> DataFrame:
     """Per document a row with the number of its words and either their digest or, if a tile of it is to be solved,
     the words; and a row for each such tile. ``source`` has the columns ``__row, __id, __text``.
@@ -158,13 +240,13 @@ def _document_and_tile_rows(source: DataFrame, change: Callable | None) -> DataF
         out, size, sent = [], 0, set()
         for octave, docs, cuts in cuts_to_solve(every, starts, ends):
             step = octave_step(octave)
-            for d, cut in zip(docs.tolist(), cuts.tolist()):
-                first, last = max(0, cut - step), min(int(sizes[d]), cut + 3 * step)
+            for d, cut, last_cut in strips(octave, docs, cuts):
+                first, last = max(0, cut - step), min(int(sizes[d]), last_cut + 3 * step)
                 tile = every[starts[d] + first : starts[d] + last].tobytes()
-                out.append((rows[d], None, len(texts[d]), None, None, octave, cut, first, tile))
+                out.append((rows[d], None, len(texts[d]), None, None, octave, cut, last_cut, tile))
                 sent.add(d)
                 size += last - first
-                if size >= TILE_WORDS:
+                if size >= BATCH_WORDS:
                     yield batch_of(out, part)
                     out, size = [], 0
         for d, words in enumerate(texts):
@@ -193,9 +275,9 @@ def _solve(batches):
     names = ["__row", "period", "start", "end"]
     for batch in batches:
         found = []
-        for row, n, octave, cut, first, tile in zip(*(c.to_pylist() for c in batch.columns)):
-            words = np.frombuffer(tile, np.int32)
-            found += [(row, *f) for f in solve_tile(words, first, cut, octave, n)]
+        for row, n, octave, cut, last_cut, tile in zip(*(c.to_pylist() for c in batch.columns)):
+            words, first = np.frombuffer(tile, np.int32), max(0, cut - octave_step(octave))
+            found += [(row, *f) for f in solve_strip(words, first, (cut, last_cut), octave, n)]
         columns = zip(*found) if found else [[]] * 4
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
@@ -244,7 +326,7 @@ def find(
     words to look at.
 
     Null, empty and blank texts have no word and no run; repeated rows are each answered; other columns
-    may have any name. No text is too long: the tiles of a long one are solved on many tasks.
+    may have any name. No text is too long: the strips of a long one are solved on many tasks.
     """
     source = documents.select(
         F.monotonically_increasing_id().alias("__row"),
@@ -252,7 +334,7 @@ def find(
         F.col(text_col).cast("string").alias("__text"),
     )
     rows = stage(_document_and_tile_rows(source, change))
-    tiles = rows.where(F.col("octave").isNotNull()).select("__row", "n_words", "octave", "cut", "first", "tile")
+    tiles = rows.where(F.col("octave").isNotNull()).select("__row", "n_words", "octave", "cut", "last_cut", "tile")
     spread = tiles.repartition(F.col("__row"), F.col("octave"), F.col("cut"))
     fragments = spread.mapInArrow(_solve, "__row long, period long, start long, end long")
     run = F.struct("start", "length", "period")
