@@ -7,7 +7,7 @@ the words before and after the cut agree with those one period later, so a tile
 runs around its cut. A run of period ``q`` and at least ``4 q`` words has a cut with a whole period and a gram of words
 to its right, so it is found; from a cut to the next such cut its fragments overlap by ``q`` words or
 more, so joining fragments of one document and period that overlap so much gives the whole run. A tile is only sent if the gram
-at its cut is met three times at a distance of the octave, without which no run of it has that cut; neighbouring tiles travel in one strip.
+at its cut is met three times at a distance of the octave and what repeats there is not seen to end too soon; neighbouring tiles travel in one strip.
 
 Fragments are shuffled by document and period, and of equal stretches the smallest period stays: in a
 stretch of four periods any smaller period divides it (Fine and Wilf) and has the same ends.
@@ -121,6 +121,15 @@ def _agree(words: np.ndarray, at: int, p: int, most: int) -> int:
     return len(same) if same.all() else int(same.argmin())
 
 
+def _may_be_run(words: np.ndarray, at: int, p: int, tile: tuple[int, int], open_at: tuple[bool, bool]) -> bool:
+    """Whether the stretch of period ``p`` at a cut is long enough or goes on beyond its tile, at an end that is open."""
+    end = at + p + _agree(words, at, p, tile[1] - at - p)
+    before = words[tile[0] : at][::-1] == words[tile[0] + p : at + p][::-1]
+    start = at - (len(before) if before.all() else int(before.argmin()))
+    beyond = (open_at[0] and start == tile[0]) or (open_at[1] and end == tile[1])
+    return beyond or end - start >= max(LEAST_WORDS, LEAST_PERIODS * p)
+
+
 def cuts_to_solve(
     words: np.ndarray, starts: np.ndarray, ends: np.ndarray
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -179,7 +188,10 @@ def cuts_to_solve(
                     own = own[(own % p != 0) | (_agree(words, place, p, most) < own - p)]
                 if len(own):
                     met.setdefault(place, []).extend(own.tolist())
-                    hit[i[a]] = True
+                    d = doc[i[a]]
+                    tile = max(int(starts[d]), place - step), min(int(ends[d]), place + 3 * step)
+                    open_at = tile[0] > starts[d], tile[1] < ends[d]
+                    hit[i[a]] = any(_may_be_run(words, place, p, tile, open_at) for p in own.tolist())
         yield octave, doc[hit], cut[hit]
         octave += 1
 
