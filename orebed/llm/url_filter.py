@@ -53,12 +53,22 @@ def split_url(url: bytes | None) -> tuple[bytes, bytes]:
     return host.lower(), slash + path  # of bytes: A-Z alone
 
 
-def keys(host: bytes, path: bytes, lengths: Sequence[int]) -> list[tuple[bytes, bytes]]:
-    """The host and its parent domains with the starts of the path of the rules' lengths, longest
+class Lengths(NamedTuple):
+    """The lengths in bytes that hosts and paths of rules have; no other key can be listed."""
+
+    hosts: Sequence[int]
+    paths: Sequence[int]
+
+
+def lengths_of(rules: Sequence[Rule]) -> Lengths:
+    return Lengths(sorted({len(r.host.encode()) for r in rules}), sorted({len(r.path.encode()) for r in rules}))
+
+
+def keys(host: bytes, path: bytes, lengths: Lengths) -> list[tuple[bytes, bytes]]:
+    """The host and its parent domains with the starts of the path, of the rules' lengths, longest
     first, of equal length the longest host."""
-    starts = [path[:n] for n in lengths if n <= len(path)]
-    labels = host.split(b".")
-    hosts = [b".".join(labels[i:]) for i in range(len(labels))]
+    starts = [path[:n] for n in lengths.paths if n <= len(path)]
+    hosts = [host[len(host) - n :] for n in lengths.hosts if n == len(host) or n < len(host) and host[-n - 1] == 46]
     return sorted(((h, p) for h in hosts for p in starts), key=lambda k: (-len(k[0]) - len(k[1]), -len(k[0])))
 
 
@@ -128,8 +138,8 @@ def _unlisted_passing(universe: DataFrame, level: Bloom, listed: Sequence[bytes]
     return universe.mapInArrow(run, "key binary")
 
 
-def key_universe(pages: DataFrame, url_col: str, lengths: Sequence[int]) -> DataFrame:
-    """Every key of every url, once: a binary column ``key``. Repeated keys of a batch go before the shuffle."""
+def key_universe(pages: DataFrame, url_col: str, lengths: Lengths) -> DataFrame:
+    """Every key of every url that has a rule's lengths, once: a binary column ``key``. Repeated keys of a batch go before the shuffle."""
 
     def run(batches):
         for batch in batches:
@@ -155,10 +165,12 @@ def judge(
     none does, and then ``verdict`` is ``default``. A null url or one without ``://`` has an empty host
     and path and no rule. Repeated rows and urls each get their row; an empty table gives none.
 
-    Rules whose filters would pass ``most_bytes`` are joined to the keys instead, with the same result.
+    Of rules with one host and path the last counts. Rules whose filters would pass ``most_bytes`` are joined
+    to the keys instead, with the same result.
     """
+    rules = list({(r.host, r.path): r for r in rules}.values())
     known = {r.host.encode() + b"\0" + r.path.encode(): r.verdict for r in rules}
-    lengths = sorted({len(r.path.encode()) for r in rules}, reverse=True)
+    lengths = lengths_of(rules)
     universe = stage(key_universe(pages, url_col, lengths))
     listed = cascade(list(known), universe, most_bytes)
     if listed is None:
