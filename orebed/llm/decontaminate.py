@@ -85,7 +85,7 @@ def _shards(benchmark: DataFrame, item_col: str, text_col: str, shard_bytes: int
     """The benchmark in tables of about ``shard_bytes`` of text each."""
     items = benchmark.select(
         F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("binary").alias("text")
-    ).where(F.col("text").isNotNull() & F.col("item").isNotNull())
+    ).where(F.col("text").isNotNull())
     # Copies hash alike, so they would all be in one shard.
     items = items.distinct()
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
@@ -124,8 +124,8 @@ def find(
 
     ``items`` are the ids, as text and sorted, of the items of which a window occurs; ``hits``
     the words inside an occurrence, with their ``start, end`` in code points of the original text.
-    Null or empty texts have no word and no hit; items without a word or with a null id are not
-    looked for; repeated rows and items are each handled. A benchmark too large for one
+    Null or empty texts have no word and no hit; items without a word are not looked for; the words of
+    items with a null id are hit, but add no item; repeated rows and items are each handled. A benchmark too large for one
     automaton is searched for in parts, whose hits are united by row; only hits are shuffled then.
     """
     shards = _shards(benchmark, item_col, item_text, shard_bytes)
@@ -149,7 +149,7 @@ def _scan(df: DataFrame, keep: list[str], text_col: str, shard: DataFrame, windo
         def score(texts):
             found = [automaton.scan(t) for t in texts]
             hits = [places(t, h) if len(h) else [] for t, (_, h, _) in zip(texts, found)]
-            return [n for n, _, _ in found], [sorted(x) for _, _, x in found], hits
+            return [n for n, _, _ in found], [sorted(x - {None}) for _, _, x in found], hits
 
         return score
 

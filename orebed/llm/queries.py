@@ -74,7 +74,7 @@ ORACLES["op3_decontaminate"] = f"""WITH
     d AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_WORD}') AS w FROM documents),
     b AS (SELECT item_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_WORD}') AS w FROM benchmark),
     spots AS (SELECT item_id, w, least(10, len(w)) AS size, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i
-        FROM b WHERE item_id IS NOT NULL AND len(w) > 0),
+        FROM b WHERE len(w) > 0),
     windows AS (SELECT item_id, size, array_to_string(list_slice(w, i, i + size - 1), ' ') AS part FROM spots),
     sizes AS (SELECT DISTINCT size FROM windows),
     starts AS (SELECT doc_id, size, unnest(range(1, len(w) - size + 2)) AS i, w FROM d, sizes WHERE len(w) >= size),
@@ -84,7 +84,7 @@ ORACLES["op3_decontaminate"] = f"""WITH
     hit AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM
         (SELECT doc_id, unnest(range(i, i + size)) AS pos FROM found) GROUP BY doc_id),
     items AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM
-        (SELECT DISTINCT doc_id, cast(item_id AS varchar) AS id FROM found) GROUP BY doc_id)
+        (SELECT DISTINCT doc_id, cast(item_id AS varchar) AS id FROM found WHERE item_id IS NOT NULL) GROUP BY doc_id)
     SELECT doc_id, cast(len(w) AS bigint) AS n_words, cast(coalesce(n_hit, 0) AS bigint) AS n_hit,
         cast(coalesce(n_items, 0) AS bigint) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
         coalesce(n_hit, 0) > 0 AS contaminated
