@@ -136,6 +136,18 @@ def sample_by_class(rows: DataFrame, class_col: str, id_col: str, per_class: int
     return rows.where(chosen).limit(2 * per_class * max(1, len(counts)))
 
 
+def allowed_labels(labels: DataFrame, label: str, of: int, held_out: int) -> DataFrame:
+    """Labels with an id whose crc32 modulo ``of`` is not ``held_out``: ``doc_id, __label``."""
+    allowed = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
+    return allowed.where(remainder("doc_id", of) != held_out).select("doc_id", F.col(label).alias("__label"))
+
+
+def label_counts(labels: DataFrame, label: str, of: int, held_out: int) -> dict[int, int]:
+    """How many rows of a whole table of 0 and 1 labels have each, held-out rows left out."""
+    allowed = allowed_labels(labels, label, of, held_out)
+    return dict(allowed.groupBy(F.col("__label").cast("int")).count().collect())
+
+
 def labelled_texts(
     documents: DataFrame,
     labels: DataFrame,
@@ -152,8 +164,7 @@ def labelled_texts(
     ``per_class`` documents of each label, and not more than ``max_bytes`` of text; the
     sample's ids are a table of a bounded size, so the texts are not shuffled.
     """
-    allowed = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
-    allowed = allowed.where(remainder("doc_id", of) != held_out).select("doc_id", F.col(label).alias("__label"))
+    allowed = allowed_labels(labels, label, of, held_out)
     chosen = sample_by_class(allowed.distinct(), "__label", "doc_id", per_class)
     language = F.col("lang") if lang and "lang" in documents.columns else F.lit(None).cast("string")
     texts = documents.select("doc_id", language.alias("__lang"), F.col("text").cast("binary").alias("__text"))
@@ -164,11 +175,21 @@ def labelled_texts(
 
 def bounded(rows: DataFrame, max_bytes: int) -> list[tuple]:
     """Collect rows ``id, text, ...`` up to ``max_bytes`` of text, in order of the id's
-    hash so that the sample does not depend on the partitioning; drops the id."""
-    out, size = [], 0
-    for row in rows.orderBy(F.xxhash64(rows.columns[0]), *rows.columns[1:]).toLocalIterator():
-        size += len(row[1])
-        if out and size > max_bytes:
+    hash so that the sample does not depend on the partitioning; drops the id.
+
+    ``rows`` are of a bounded number. Ids and lengths alone decide which are taken, before any text is fetched; a text longer
+    than ``max_bytes`` is taken only if it is the first.
+    """
+    key, text = rows.columns[:2]
+    hashed = F.xxhash64(key).alias("__hash")
+    size = F.sum(F.length(text)).alias("__size")
+    chosen, total = [], 0
+    for place, n in rows.groupBy(hashed).agg(size).orderBy("__hash").collect():
+        total += n
+        if chosen and total > max_bytes:
             break
-        out.append(tuple(bytes(v) if isinstance(v, bytearray) else v for v in row[1:]))
-    return out
+        chosen.append((place,))
+    few = F.broadcast(rows.sparkSession.createDataFrame(chosen, "__hash long"))
+    taken = rows.withColumn("__hash", F.xxhash64(key)).join(few, "__hash", "left_semi").select(*rows.columns, "__hash")
+    found = [tuple(bytes(v) if isinstance(v, bytearray) else v for v in row) for row in taken.collect()]
+    return [row[1:-1] for row in sorted(found, key=lambda row: (row[-1], repr(row[1:-1])))]

@@ -12,9 +12,8 @@ from itertools import combinations
 
 import numpy as np
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from orebed.llm.common import labelled_texts, per_text
+from orebed.llm.common import label_counts, labelled_texts, per_text
 
 BINS = 48
 PAIR_BINS = 12
@@ -187,14 +186,11 @@ def fit(
     table. With no text or one label only, the score is that label for all (0 without any).
     """
     sample = labelled_texts(documents, labels, "quality", of, held_out, per_class, max_bytes)
-    counts = dict(
-        labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("quality").cast("int")).count().collect()
-    )
-    return learn(sample, counts)
+    return learn(sample, label_counts(labels, "quality", of, held_out))
 
 
 def learn(sample: list[tuple], counts: dict[int, int]) -> Model:
-    """Train on ``(text, label, ...)``; ``counts`` are the labels' numbers in the whole table."""
+    """Train on ``(text, label, ...)``; ``counts`` are the labels' numbers in the whole table, held-out rows left out."""
     y = np.array([int(row[1]) for row in sample], dtype=np.int64)
     model = Model()
     if len(set(y.tolist())) < 2:

@@ -7,7 +7,9 @@ import zlib
 import numpy as np
 import pytest
 
-from orebed.llm import langid, quality, queries, toxicity
+from pyspark.sql import functions as F
+
+from orebed.llm import common, langid, quality, queries, toxicity
 
 SF = "/root/testdata/sf0.1"
 SMALL = "/root/testdata/sf0.001"
@@ -155,3 +157,23 @@ def test_interactions_are_learned():
     model = quality.Model().fit(x, y, np.ones(len(y)))
     assert (0, 2) in model.pairs
     assert ((model.score(x) > 0.5) == y).mean() > 0.9
+
+
+@pytest.mark.parametrize("module,label,of,rest", [(toxicity, "toxic", 5, 0), (quality, "quality", 4, 2)])
+def test_held_out_labels_are_not_learned_from(spark, module, label, of, rest):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(1500).cache()
+    labels = spark.read.parquet(f"{SF}/labels.parquet").join(docs.select("doc_id"), "doc_id", "left_semi").cache()
+    held = common.remainder("doc_id", of) == rest
+    other = labels.withColumn(label, F.when(held, 1 - F.col(label)).otherwise(F.col(label)))
+    found = [
+        sorted(map(tuple, module.score(docs, module.fit(docs, given, of=of, held_out=rest)).collect()))
+        for given in (labels, other, labels.where(~held))
+    ]
+    assert found[0] == found[1] == found[2] and len({s for _, s in found[0]}) > 100
+
+
+def test_sample_is_bounded_before_texts_are_fetched(spark):
+    rows = spark.range(40).select("id", F.repeat(F.lit("x"), F.lit(300_000)).cast("binary").alias("text"))
+    sample = common.bounded(rows, 1_000_000)
+    assert len(sample) == 3 and all(len(t) == 300_000 for (t,) in sample)
+    assert len(common.bounded(rows, 10)) == 1 and common.bounded(rows.limit(0), 10) == []
