@@ -9,6 +9,7 @@ piece by piece. Every piece then looks up its place by its number among the piec
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 
@@ -42,11 +43,14 @@ class Encoder:
 
     A byte-level BPE never merges across the pieces its pattern makes, and a single space before
     a character that is no space always starts a piece. Such texts are cut there and the ids of
-    each piece remembered; the rare others go to the tokenizer whole.
+    each piece remembered; the rare others go to the tokenizer whole, as do texts with the string of an added token,
+    which the tokenizer takes for that token.
     """
 
     def __init__(self, tokenizer: str, ranks: str | None = None, pattern: str | None = None):
         self.tokenizer, self.known, self.whole, self.short = tokenizer, {}, None, None
+        with open(tokenizer, "rb") as file:
+            self.added = [token["content"] for token in json.load(file).get("added_tokens") or ()]
         if ranks and pattern:
             import base64
 
@@ -61,7 +65,6 @@ class Encoder:
             from tokenizers import Tokenizer
 
             self.whole = Tokenizer.from_file(self.tokenizer)
-            self.whole.encode_special_tokens = True  # their strings are ordinary text
         ids = self.whole.encode(text, add_special_tokens=False).ids
         return np.array(ids, dtype="<u4").tobytes()
 
@@ -76,7 +79,7 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
-        if self.short is None or _ODD.search(text) or _SPACES.search(text):
+        if self.short is None or _ODD.search(text) or _SPACES.search(text) or any(a in text for a in self.added):
             return self._whole(text)
         first, *rest = text.split(" ")
         rest = [" " + piece for piece in rest]

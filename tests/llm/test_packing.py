@@ -23,7 +23,6 @@ PATHS = (
 @pytest.fixture(scope="module")
 def tokenizer():
     t = Tokenizer.from_file(PATHS[0])
-    t.encode_special_tokens = True
     return t
 
 
@@ -39,7 +38,7 @@ def ids(encoder, text):
 @pytest.mark.parametrize(
     "text",
     ["", " ", "a", " a b", "a  b", "a   b", "a \n b", "a\n\nb c", "\n a", "a ", "it's we'll I'm", "é à ñ ß", "12 345,67 %%%",
-     "<|endoftext|> x", "a\tb c", "日本語 текст", "x y z", "a\x1cb c", " a b", "don 't 'll", "a" * 5000, "🙂 x"],
+     "<|endoftext|> x", "a\tb c", "日本語 текст", "x y z", "a\x1cb c", " a b", "don 't 'll", "a" * 5000, "🙂 x", "hello <|endoftext|> world", "a<|endoftext|>"],
 )
 def test_ids(encoder, tokenizer, text):
     assert ids(encoder, text) == tokenizer.encode(text, add_special_tokens=False).ids
