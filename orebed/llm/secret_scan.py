@@ -38,7 +38,7 @@ _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{19,}={0,2}")
 _LONG_HEX = re.compile(r"[0-9A-Fa-f]{28,}")
 #: Runs that follow each other line by line; line ends may be written out, as in a JSON string.
 _BREAK = r"[ \t]*(?:\r?\n|(?:\\r)?\\n)[ \t]*"
-_LINES = re.compile(r"[A-Za-z0-9+/_-]{16,}+(?:" + _BREAK + r"[A-Za-z0-9+/_-]++={0,2})+")
+_LINES = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:" + _BREAK + r"[A-Za-z0-9+/_-]++={0,2})+")
 _LINE = re.compile(r"(?:^|" + _BREAK + r")([A-Za-z0-9+/_-]+={0,2})")
 
 #: Shortest line of a wrapped candidate.
