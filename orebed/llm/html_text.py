@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 from pyspark.sql import DataFrame
 
@@ -40,6 +41,9 @@ _ENDS = {
 }
 _BOUNDS = frozenset("table td th button object body html article section div main aside nav form blockquote ul ol li".split())
 
+#: Words of a class or id that mark what may hold the article, whatever else the name says.
+_CONTENT = frozenset("article body content entry main page post site story text wrapper".split())
+
 #: Words of a class or id that mark what is no article text.
 _UNLIKELY = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner sidebar nav navbar"
@@ -60,11 +64,13 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 class Node:
     """An element: its children are elements and strings."""
 
-    __slots__ = ("tag", "parent", "children", "drop", "words", "points", "text", "linked")
+    __slots__ = ("tag", "parent", "children", "drop", "words", "points", "text", "linked", "commas", "links", "paragraph")
 
     def __init__(self, tag: str, parent: Node | None, attributes: str = ""):
         self.tag, self.parent, self.children = tag, parent, []
-        self.points, self.text, self.linked = 0.0, 0, 0
+        self.points, self.text, self.linked, self.commas, self.links = 0.0, 0, 0, 0, 0
+        #: The open paragraph that a block would end, if any.
+        self.paragraph = self if tag == "p" else None if parent is None or tag in _BOUNDS else parent.paragraph
         self.words, self.drop = frozenset(), tag in _SKIPPED
         if attributes:
             self._read(attributes)
@@ -87,6 +93,13 @@ def parse(source: str) -> Node:
     root = node = Node("html", None)
     at, n = 0, len(source)
     no_comment_end = False
+    open_tags = Counter([root.tag])
+
+    def leave(inner: Node, outer: Node) -> None:
+        while inner is not outer:
+            open_tags[inner.tag] -= 1
+            inner = inner.parent
+
     while at < n:
         start = source.find("<", at)
         if start < 0:
@@ -113,20 +126,31 @@ def parse(source: str) -> Node:
             at = start + 1
             continue
         at, tag = m.end(), m[2].lower()
-        node = _close(node, tag) if m[1] else _open(node, tag, m[3])
+        before = node
+        if m[1]:
+            node = _close(node, tag, open_tags)
+            leave(before, node)
+        else:
+            node, child = _open(node, tag, m[3], open_tags)
+            leave(before, node)
+            if child is not None:
+                node = child
+                open_tags[tag] += 1
         if not m[1] and tag in _RAW and node.tag == tag:
             end = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(source, at)
             if end is None:
                 break
             close = source.find(">", end.end())
+            leave(node, node.parent)
             node, at = node.parent, n if close < 0 else close + 1
     return root
 
 
-def _close(node: Node, tag: str) -> Node:
+def _close(node: Node, tag: str, open_tags: Counter) -> Node:
     """The open element after an end tag: the parent of the nearest of its kind, if any."""
     if tag == "br":
         node.children.append(" ")
+    if not open_tags[tag]:
         return node
     at = node
     while at is not None and at.tag != tag:
@@ -136,20 +160,15 @@ def _close(node: Node, tag: str) -> Node:
     return node if at is None or at.parent is None else at.parent
 
 
-def _open(node: Node, tag: str, attributes: str) -> Node:
-    """The open element after a start tag, having closed those that it ends."""
+def _open(node: Node, tag: str, attributes: str, open_tags: Counter) -> tuple[Node, Node | None]:
+    """The element that a start tag is in, having closed those that it ends, and the one it opens, if any."""
     if tag in ("html", "body") and node.parent is None and tag == "html":
-        return node
-    if tag not in _INLINE and tag not in _VOID or tag == "hr":
-        at = node
-        while at is not None and at.tag not in _BOUNDS:
-            if at.tag == "p":
-                node = at.parent
-                break
-            at = at.parent
+        return node, None
+    if (tag not in _INLINE and tag not in _VOID or tag == "hr") and node.paragraph is not None:
+        node = node.paragraph.parent
     if tag in _ENDS:
         kinds, bounds = _ENDS[tag]
-        at = node
+        at = node if any(open_tags[k] for k in kinds) else None
         while at is not None and at.tag not in bounds:
             if at.tag in kinds:
                 node = at.parent
@@ -159,10 +178,10 @@ def _open(node: Node, tag: str, attributes: str) -> Node:
     if tag in _VOID:
         if tag in ("br", "hr"):
             node.children.append(Node(tag, node))
-        return node
+        return node, None
     child = Node(tag, node, attributes)
     node.children.append(child)
-    return child if not attributes.endswith("/") or tag not in ("svg", "path") else node
+    return node, child if not attributes.endswith("/") or tag not in ("svg", "path") else None
 
 
 def _postorder(root: Node) -> list[Node]:
@@ -175,53 +194,66 @@ def _postorder(root: Node) -> list[Node]:
 
 
 def _mark(nodes: list[Node]) -> None:
-    """Drop elements by their names and page headers, but none that holds an article."""
-    holds = set()
+    """Drop elements by their names and page headers, but none that holds an article, and none named as content
+    that holds most of the page's paragraph text."""
+    spared, holds = _most_of_text(nodes), set()
     for node in nodes:
         if node.tag in ("article", "main") and not node.words & _UNLIKELY:
             at = node.parent
             while at is not None and at not in holds:
                 holds.add(at)
                 at = at.parent
+    within = set()  # an article or main element
+    for node in nodes[::-1]:  # parents first
+        if node.parent is not None and (node.parent.tag in ("article", "main") or node.parent in within):
+            within.add(node)
     for node in nodes:
         unlikely = node.words & _UNLIKELY or node.words & _PAGE_HEADER and node.tag != "h1"
-        if unlikely and node not in holds and node.tag not in ("html", "body", "main"):
+        if unlikely and node not in holds and node not in spared and node.tag not in ("html", "body", "main"):
             node.drop = True
-        if node.tag == "header" and not _within(node, ("article", "main")):
-            node.drop = node.drop or node not in holds
+        if node.tag == "header" and node not in within:
+            node.drop = node.drop or node not in holds and node not in spared
         if node.drop and node.tag not in _SKIPPED and node in holds:
             node.drop = False
     for node in nodes[::-1]:  # parents first
         node.drop = node.drop or node.parent is not None and node.parent.drop
 
 
-def _within(node: Node, tags: tuple[str, ...]) -> bool:
-    at = node.parent
-    while at is not None:
-        if at.tag in tags:
-            return True
-        at = at.parent
-    return False
+def _most_of_text(nodes: list[Node]) -> set[Node]:
+    """Elements named as content, among other things, with more than half of the characters of all paragraphs."""
+    below: dict[Node, int] = Counter()
+    total = 0
+    for node in nodes:
+        own = sum(len(c.strip()) for c in node.children if isinstance(c, str))
+        inner = below[node] + (own if not node.drop else 0)
+        total += own if not node.drop else 0
+        if node.parent is not None and not node.drop:
+            below[node.parent] += inner
+        below[node] = inner
+    named = [n for n in nodes if n.words & _UNLIKELY | n.words & _PAGE_HEADER and n.words & _CONTENT]
+    return {n for n in named if 2 * below[n] > total and not n.drop}
 
 
 def _measure(nodes: list[Node]) -> None:
     """Characters of text and of linked text below each element, and the points paragraphs pass on."""
     for node in nodes:
         if node.drop:
-            node.text = node.linked = 0
+            node.text = node.linked = node.commas = node.links = 0
             continue
-        commas, own_block = 0, True
+        own_block = True
         for child in node.children:
             if isinstance(child, str):
                 node.text += len(child.strip())
+                node.commas += child.count(",")
             else:
                 node.text += child.text
+                node.commas += child.commas
+                node.links += child.links + (child.tag == "a" and not child.drop)
                 node.linked += child.text if child.tag == "a" else child.linked
                 own_block = own_block and child.tag in _INLINE | _VOID
         if node.tag in _PARAGRAPHS or node.tag in ("div", "section") and own_block:
             if node.text >= 25:
-                commas = _text_of(node).count(",")
-                points = 1 + commas + min(node.text / 100, 3)
+                points = 1 + node.commas + min(node.text / 100, 3)
                 points *= 1 - node.linked / node.text
                 at, share = node.parent, 1.0
                 for _ in range(3):
@@ -231,17 +263,6 @@ def _measure(nodes: list[Node]) -> None:
                     at, share = at.parent, share / (2 if share == 1 else 1.5)
 
 
-def _text_of(node: Node) -> str:
-    out, stack = [], [node]
-    while stack:
-        at = stack.pop()
-        if isinstance(at, str):
-            out.append(at)
-        elif not at.drop:
-            stack += at.children[::-1]
-    return "".join(out)
-
-
 def _heading(node: Node) -> bool:
     """A heading, or a box that holds nothing else."""
     inner = [c for c in node.children if isinstance(c, Node) or c.strip()]
@@ -280,24 +301,14 @@ def _container(nodes: list[Node], root: Node) -> list[Node]:
 
 def _menu(node: Node) -> bool:
     """A list or box that is mostly links."""
-    return node.tag in ("ul", "ol", "dl", "div", "table", "section") and node.text > 0 and node.linked > 0.6 * node.text and sum(
-        1 for _ in _links(node)
-    ) > 1
-
-
-def _links(node: Node):
-    stack = [node]
-    while stack:
-        at = stack.pop()
-        if isinstance(at, Node) and not at.drop:
-            if at.tag == "a":
-                yield at
-            stack += at.children
+    lists = node.tag in ("ul", "ol", "dl", "div", "table", "section")
+    return lists and node.text > 0 and node.linked > 0.6 * node.text and node.links > 1
 
 
 def _blocks(kept: list[Node]) -> list[str]:
     """The text of each block in page order: character references decoded, white space as one space."""
     out, run = [], []
+    whole = set(kept)
 
     def flush() -> None:
         text = " ".join(html.unescape("".join(run)).split())
@@ -314,7 +325,7 @@ def _blocks(kept: list[Node]) -> list[str]:
             run.append(at)
         elif at.tag == "br":
             run.append("\n")
-        elif at.drop or at not in kept and _menu(at):
+        elif at.drop or at not in whole and _menu(at):
             if at.tag not in _INLINE:
                 flush()
         elif at.tag in _INLINE:

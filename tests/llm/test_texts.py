@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import json
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -28,7 +29,7 @@ def brute_hits(text, items):
             for i in range(len(words) - size + 1):
                 if words[i : i + size] == own[k : k + size]:
                     hit |= set(range(i, i + size))
-                    found.add(str(item))
+                    found |= {str(item)} if item is not None else set()
     return len(words), sorted(hit), sorted(found)
 
 
@@ -54,7 +55,7 @@ def test_hits_are_those_of_brute_force(spark, rows, shard_bytes):
     items = spark.createDataFrame([(*i, 3) for i in ITEMS], "item_id long, text string, hits int")
     found = decontaminate.find(docs, items, shard_bytes=shard_bytes)
     ours = rows(found.select("doc_id", "n_words", F.col("hits.word").alias("w"), "items"))
-    theirs = [(d, *brute_hits(t, [i for i in ITEMS if i[0] is not None])) for d, t in DOCS]
+    theirs = [(d, *brute_hits(t, ITEMS)) for d, t in DOCS]
     assert ours == sorted(theirs, key=repr)
 
 
@@ -87,7 +88,7 @@ def test_contaminated_documents_go(spark):
     docs = spark.createDataFrame([(*d, None) for d in DOCS], "doc_id long, text string, hits int")
     kept = decontaminate.drop_contaminated(docs, spark.createDataFrame(ITEMS, "item_id long, text string"))
     assert kept.columns == docs.columns
-    assert sorted(repr(r[0]) for r in kept.collect()) == ["3", "5", "6", "8", "None"]
+    assert sorted(repr(r[0]) for r in kept.collect()) == ["3", "5", "6", "8"]
 
 
 KEY = bytes.fromhex("302e020100300506032b657004220420") + bytes(range(32))
@@ -309,3 +310,38 @@ def test_cascade_is_exact(spark):
     levels = url_filter.cascade(listed, spark.createDataFrame([(bytearray(k),) for k in keys], "key binary"))
     assert [k for k in keys if url_filter.passes(levels, k)] == listed
     assert len(levels) > 2
+
+
+def test_of_rules_with_one_key_the_last_counts(spark, rows):
+    df = spark.createDataFrame([(1, "http://a.net/x"), (2, "http://b.com/x")], "page_id long, url string")
+    rules = [Rule("allow", "net", "/"), Rule("block", "com", "/"), Rule("block", "net", "/"), Rule("allow", "com", "/")]
+    for most_bytes in (url_filter.FILTER_BYTES, 0):
+        found = rows(url_filter.judge(df, rules, most_bytes=most_bytes), "page_id", "verdict")
+        assert found == [(1, "block"), (2, "allow")]
+
+
+def seconds(function, *args):
+    start = time.perf_counter()
+    function(*args)
+    return time.perf_counter() - start
+
+
+def test_long_hosts_runs_and_pages_take_linear_time():
+    lengths = url_filter.lengths_of(RULES)
+    assert seconds(url_filter.keys, b"a." * 100_000 + b"net", b"/x", lengths) < 5
+    assert url_filter.keys(b"a." * 100_000 + b"net", b"/x", lengths) == [(b"a.a.a.a.net", b"/"), (b"net", b"/")]
+    for run in ("A" * 5_000_000, "QUJD" * 1_000_000 + " " * 1_000_000, "ab" * 2_000_000 + "\n"):
+        assert seconds(lambda t: list(secret_scan.confirmed_spans(t)), run) < 5
+    assert seconds(html_text.main_text, "<div></b>" * 100_000 + "<p>" + "words, of text " * 20) < 5
+    assert seconds(html_text.main_text, "<blockquote>quoted, text of a line that is long" * 20_000) < 5
+    assert seconds(html_text.main_text, "<article>" + "<b>" * 50_000 + "<h2>x</h2>" * 50_000) < 5
+
+
+WRAPPERS = ["content with-sidebar", "post-share", "ad-free post", "entry header", "site no-sidebar", "article comments-open", "page login-required"]
+
+
+@pytest.mark.parametrize("name", WRAPPERS)
+def test_names_do_not_delete_what_holds_the_text(name):
+    text = "This is the text, long enough to be an article, with commas, and sentences that go on."
+    page = f"<body><div class='menu'><a href=x>Home</a></div><div class='{name}'><p>{text}</p><p>{text}</p></div><div class='comments'><p>First, and more!</p></div></body>"
+    assert html_text.main_text(page) == f"{text} {text}"
