@@ -18,13 +18,20 @@ from orebed.sources import writers
 # ones occur at this share only in the chunks of tables of a few hundred baskets.
 ONE_IN = 130
 
+# Where sets of four and more items are asked for; the SQL checks list sets of one to six; larger ones do not occur at this share.
+FEW_IN = 500
 
-def _support(b: DataFrame) -> int:
+
+def _support(b: DataFrame, one_in: int = ONE_IN) -> int:
     """The fixed share of the baskets, rounded up."""
-    return max(1, -(-b.select("basket_id").distinct().count() // ONE_IN))
+    return max(1, -(-b.select("basket_id").distinct().count() // one_in))
+
+
+def _support_sql(one_in: int) -> str:
+    return f"(SELECT (count(DISTINCT basket_id) + {one_in - 1}) // {one_in} FROM big_tx)"
 
 
-_SUPPORT_SQL = f"(SELECT (count(DISTINCT basket_id) + {ONE_IN - 1}) // {ONE_IN} FROM big_tx)"
+_SUPPORT_SQL = _support_sql(ONE_IN)
 
 
 def _big_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,26 +42,27 @@ def _as_text(sets: DataFrame) -> DataFrame:
     return sets.withColumn("itemset", F.array_join("itemset", ","))
 
 
-def _sets_sql(name: str, rows: str, need: str) -> str:
-    """Frequent sets of one to three items per chunk as CTEs ending in ``name``.
+def _sets_sql(name: str, rows: str, need: str, most: int = 3) -> str:
+    """Frequent sets of one to ``most`` items per chunk as CTEs ending in ``name``.
 
     ``rows`` gives chunk, basket_id, item; ``need`` is a condition on n and chunk.
     """
-    pair = f"JOIN {name}_once AS b ON a.basket_id = b.basket_id AND a.item < b.item"
-    triple = f"{pair} JOIN {name}_once AS c ON a.basket_id = c.basket_id AND b.item < c.item"
+    joined, counts = f"{name}_once AS a1", []
+    for size in range(2, most + 1):
+        last = f"a1.basket_id = a{size}.basket_id AND a{size - 1}.item < a{size}.item"
+        joined += f" JOIN {name}_once AS a{size} ON {last}"
+        items = ", ".join(f"a{i}.item" for i in range(1, size + 1))
+        line = f"concat('(''', concat_ws(''', ''', {items}), ''')')"
+        counts.append(
+            f"UNION ALL SELECT a1.chunk, {size}, concat_ws(',', {items}), {line}, count(*)"
+            f" FROM {joined} GROUP BY a1.chunk, {items}"
+        )
     return f"""{name}_rows AS ({rows}),
     {name}_once AS (SELECT DISTINCT chunk, basket_id, item FROM {name}_rows),
     {name}_count AS (
         SELECT chunk, 1 AS size, item AS itemset, concat('(''', item, ''')') AS line, count(*) AS n
         FROM {name}_rows GROUP BY chunk, item
-        UNION ALL
-        SELECT a.chunk, 2, concat(a.item, ',', b.item),
-               concat('(''', a.item, ''', ''', b.item, ''')'), count(*)
-        FROM {name}_once AS a {pair} GROUP BY a.chunk, a.item, b.item
-        UNION ALL
-        SELECT a.chunk, 3, concat(a.item, ',', b.item, ',', c.item),
-               concat('(''', a.item, ''', ''', b.item, ''', ''', c.item, ''')'), count(*)
-        FROM {name}_once AS a {triple} GROUP BY a.chunk, a.item, b.item, c.item),
+        {" ".join(counts)}),
     {name} AS (SELECT * FROM {name}_count WHERE {need})"""
 
 
@@ -121,6 +129,29 @@ def frequent_itemsets(spark, sf_dir):
     return _as_text(itemsets.frequent_itemsets(b, _support(b)))
 
 
+_LARGE = _sets_sql(
+    "large",
+    "SELECT DISTINCT 0 AS chunk, basket_id, item FROM big_tx",
+    f"n >= {_support_sql(FEW_IN)}",
+    most=6,
+)
+_LARGE_SQL = with_views("big_tx") + f", {_LARGE} SELECT itemset, size, n AS freq FROM large"
+
+
+@query("large_itemsets", _LARGE_SQL)
+def large_itemsets(spark, sf_dir):
+    """Sets of up to four items and more, by levels."""
+    b = _big_baskets(spark, sf_dir)
+    return _as_text(itemsets.frequent_itemsets(b, _support(b, FEW_IN)))
+
+
+@query("large_son_itemsets", _LARGE_SQL)
+def large_son_itemsets(spark, sf_dir):
+    """The same in two phases, the chunks cut by a hash."""
+    b = _big_baskets(spark, sf_dir)
+    return _as_text(itemsets.son(b, _support(b, FEW_IN), chunks=2)[1])
+
+
 @query(
     "frequent_pairs_fpgrowth",
     with_views("big_tx")

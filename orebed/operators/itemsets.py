@@ -20,7 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from orebed.functions import scalar
-from orebed.functions.skew import MIN_ROWS, heavy_of, join_within, replicated, salted
+from orebed.functions.skew import MIN_ROWS, join_within
+from orebed.operators.bitmaps import supports, vertical
+from orebed.operators.chunks import mine
 from orebed.session import stage
 
 # Baskets with more frequent items than this are left out of pair making,
@@ -28,6 +30,9 @@ from orebed.session import stage
 HEAVY_BASKET = 5_000
 MOST_HEAVY = 1_000
 
+# Rows of baskets in a chunk of two-phase mining.
+CHUNK_ROWS = 2_000_000
+
 _SET = ["chunk", "parent", "last"]
 
 
@@ -86,47 +91,44 @@ def frequent_itemsets(
 def son_candidates(
     b: DataFrame,
     support: int,
-    chunks: int = 8,
+    chunks: int | None = None,
     basket: str = "basket_id",
     item: str = "item",
     chunk: Column | None = None,
-    heavy_basket: int = HEAVY_BASKET,
 ) -> DataFrame:
     """Phase one: itemsets frequent in some chunk of the baskets, ``itemset, size``.
 
     A chunk with ``m`` of all ``N`` baskets needs ``count * N >= support * m``.
     Single items count every occurrence, larger sets once per basket. Chunks
-    are cut by a hash of the basket unless a ``chunk`` expression is given.
+    are cut by a hash of the basket, into as many as hold ``CHUNK_ROWS`` rows each if no number is given,
+    unless a ``chunk`` expression is given. Each is mined by one task, see ``chunks.mine``.
     """
     if chunk is None:
+        if chunks is None:
+            chunks = -(-b.count() // CHUNK_ROWS) or 1
         chunk = F.pmod(F.xxhash64(basket), F.lit(chunks))
-    occurrences = _occurrences(b, chunk, basket, item)
-    # One row per chunk.
-    per_chunk = _count(occurrences.select("chunk", "basket").distinct(), "chunk")
-    total = per_chunk.agg(F.sum("freq")).scalar()
-    shares = per_chunk.select(
-        "chunk", (F.col("freq").cast("decimal(38,0)") * F.lit(support)).alias("share"), total.alias("total")
-    )
-    need = stage(
-        shares.select("chunk", F.expr("greatest(1, cast(ceil(share / total) AS bigint))").alias("need"))
-    )
-    every = occurrences.groupBy("chunk", "item").agg(F.sum("times").alias("freq"))
-    levels = _levels(occurrences, _at_least(every, need), need, None, heavy_basket)
-    return levels.select("itemset").distinct().select("itemset", F.size("itemset").alias("size"))
+    total = b.select(F.count_distinct(F.struct(basket))).first()[0]
+    rows = b.select(chunk.cast("int").alias("chunk"), F.col(basket).alias("basket"), F.col(item).alias("item"))
+    found = mine(rows, support, total).distinct()
+    return found.select("itemset", F.size("itemset").alias("size"))
 
 
 def son(
     b: DataFrame,
     support: int,
-    chunks: int = 8,
+    chunks: int | None = None,
     basket: str = "basket_id",
     item: str = "item",
     chunk: Column | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Both phases: the candidates of the chunks, and those frequent overall."""
+    """Both phases: the candidates of the chunks, and those frequent overall.
+
+    A set that is frequent overall is frequent in some chunk, so phase two counts the candidates and mines nothing.
+    """
     b = stage(b.select(basket, item))
     candidates = stage(son_candidates(b, support, chunks, basket, item, chunk))
-    return candidates, frequent_itemsets(b, support, basket, item, within=candidates)
+    counted = count_candidates(candidates, b, basket, item).where(F.col("freq") >= support)
+    return candidates, counted.select("itemset", F.size("itemset").alias("size"), "freq")
 
 
 def gen_candidates(sets: DataFrame, prune: bool = True) -> DataFrame:
@@ -153,10 +155,7 @@ def gen_candidates(sets: DataFrame, prune: bool = True) -> DataFrame:
 def count_candidates(
     candidates: DataFrame, b: DataFrame, basket: str = "basket_id", item: str = "item"
 ) -> DataFrame:
-    """Baskets holding each candidate: ``itemset, freq``, zero counts left out.
-
-    A candidate is looked for in the baskets of its rarest item.
-    """
+    """Baskets holding each candidate: ``itemset, freq``, zero counts left out."""
     occurrences = b.select(
         F.lit(0).alias("chunk"), F.col(basket).alias("basket"), F.col(item).alias("item")
     ).distinct()
@@ -413,32 +412,12 @@ def _candidates(level: DataFrame) -> DataFrame:
 
 
 def _contained(sets: DataFrame, occurrences: DataFrame) -> DataFrame:
-    """Baskets of the same chunk that hold each set: ``chunk, itemset, freq``.
+    """Baskets of the same chunk that hold each set: ``chunk, itemset, freq``, zero counts left out.
 
-    A set meets the baskets of its rarest item alone, of which a common one is split by its
-    count; the other items are looked for in the basket's array, which has the items of the
-    sets only.
+    Counted on bitmaps of the items that the sets hold.
     """
-    key = ["chunk", "item"]
     sets = stage(sets.withColumn("id", F.monotonically_increasing_id()))
     wanted = sets.select("chunk", F.explode("itemset").alias("item")).distinct()
-    occurrences = stage(occurrences.select("chunk", "basket", "item").join(wanted, key, "left_semi"))
-    counts = stage(occurrences.groupBy(*key).agg(F.count(F.lit(1)).alias("n_rows")))
-    # An item that no basket holds drops its set: fewer items than the set are counted then.
-    rarest = (
-        sets.select("chunk", "id", "itemset", F.explode("itemset").alias("item"))
-        .join(counts, key)
-        .groupBy("chunk", "id", "itemset")
-        .agg(F.count(F.lit(1)).alias("known"), F.min_by("item", F.struct("n_rows", "item")).alias("item"))
-        .where(F.col("known") == F.size("itemset"))
-        .drop("known")
-    )
-    heavy = heavy_of(counts)
-    spread = salted(occurrences, heavy, key, ["basket"])
-    arrays = occurrences.groupBy("chunk", "basket").agg(F.collect_list("item").alias("items"))
-    held = (
-        spread.join(replicated(rarest, heavy, key), [*key, "salt"])
-        .join(arrays, ["chunk", "basket"])
-        .where(F.size(F.array_except("itemset", "items")) == 0)
-    )
-    return _count(held, "id").join(sets, "id").select("chunk", "itemset", "freq")
+    occurrences = stage(occurrences.select("chunk", "basket", "item").join(wanted, ["chunk", "item"], "left_semi"))
+    counted = supports(sets, vertical(occurrences))
+    return counted.join(sets, "id").select("chunk", "itemset", "freq")

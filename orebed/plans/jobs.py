@@ -90,7 +90,7 @@ def itemset_job(
     support: int,
     in_path: str,
     out_path: str,
-    chunks: int = 8,
+    chunks: int | None = None,
     baskets_path: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Candidates and frequent itemsets of the customers' daily baskets.
@@ -122,8 +122,8 @@ def similarity_job(
     in_path: str,
     out_path: str,
     threshold: float = 0.5,
-    bands: int = 64,
-    rows: int = 3,
+    bands: int = similarity.BANDS,
+    rows: int = similarity.ROWS,
     seed: int = SEED,
     copies_path: str | None = None,
 ) -> DataFrame:

@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+import random
 from itertools import combinations
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from orebed.operators import itemsets
+from orebed.operators import bitmaps, chunks, itemsets
 from orebed.sources.writers import itemset_report, write_itemset_report
 
 BASKETS = {
@@ -161,3 +164,73 @@ def test_report(spark, tmp_path):
     for part in sorted((tmp_path / "r").glob("part-*")):
         lines += part.read_text().splitlines()
     assert lines == ["Candidates:", "('a')", "('b')", "", "('a', 'b')", "", "Frequent Itemsets:"]
+
+
+def brute_chunk(rows, need):
+    """Sets of items in ``need`` baskets or rows, from rows (basket, item)."""
+    bags, counts = {}, {}
+    for k, x in rows:
+        bags.setdefault(k, set()).add(x)
+        counts[x] = counts.get(x, 0) + 1
+    singles = sorted(x for x, n in counts.items() if n >= need)
+    found = {(x,) for x in singles}
+    for k in range(2, len(singles) + 1):
+        more = {c for c in combinations(singles, k) if sum(set(c) <= v for v in bags.values()) >= need}
+        found |= more
+        if not more:
+            break
+    return found
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_depth_first_mining_matches_brute_force(seed):
+    draw = random.Random(seed)
+    rows = [(draw.randint(0, 40), draw.randint(0, 8)) for _ in range(draw.choice([5, 60, 200]))]
+    baskets = {k: i for i, k in enumerate(sorted({k for k, _ in rows}))}
+    basket, item = np.array([baskets[k] for k, _ in rows]), np.array([x for _, x in rows])
+    for need in (1, 2, 4):
+        found = list(chunks.frequent(basket, item, len(baskets), need))
+        assert len(found) == len(set(found)) and set(found) == brute_chunk(rows, need)
+
+
+def test_chunks_are_the_only_exchange_of_occurrences(spark, b):
+    """Rows of baskets are exchanged by chunk; what comes after are itemsets."""
+    plan = itemsets.son_candidates(b, 3, chunk=F.col("basket_id") % 3)._jdf.queryExecution().executedPlan().toString()
+    exchanges = [x for x in plan.split("\n") if "Exchange hashpartitioning" in x]
+    assert len(exchanges) == 2 and "hashpartitioning(itemset" in exchanges[0] and "hashpartitioning(chunk" in exchanges[1]
+
+
+def test_null_items_and_baskets(spark):
+    rows = [(1, "a"), (1, None), (None, "a"), (None, "b"), (2, "b"), (2, "a"), (3, None)]
+    b = spark.createDataFrame(rows, "basket_id long, item string")
+    found = {tuple(r.itemset) for r in itemsets.son_candidates(b, 2, chunks=1).collect()}
+    assert found == {("a",), ("b",), ("a", "b")}
+    assert itemsets.son_candidates(b.limit(0), 2).count() == 0
+
+
+@pytest.mark.parametrize("block_rows", [1, 5, 1000])
+def test_bitmaps_in_blocks_of_sets(spark, b, monkeypatch, block_rows):
+    monkeypatch.setattr(bitmaps.supports, "__defaults__", (block_rows,))
+    sets = [list(c) for k in (1, 2, 3) for c in combinations("abcdex", k)]
+    df = spark.createDataFrame([(s,) for s in sets], "itemset array<string>")
+    wanted = {c: n for c, n in brute(1).items() if len(c) <= 3}
+    assert as_dict(itemsets.count_candidates(df, b)) == wanted
+
+
+def test_a_basket_of_many_items(spark):
+    """A basket of 20,000 items beside many of two is no array anywhere; bits of 70,000 baskets take three buckets."""
+    one = spark.range(20_000).selectExpr("-1L AS basket_id", "concat('i', id) AS item")
+    rest = spark.range(70_000).selectExpr("id AS basket_id", "explode(array('i1', concat('i', id % 2 + 2))) AS item")
+    b = one.unionByName(rest)
+    sets = [["i1"], ["i1", "i2"], ["i2", "i3"], ["i1", "i3", "i999"], ["i1", "none"]]
+    df = spark.createDataFrame([(s,) for s in sets], "itemset array<string>")
+    found = as_dict(itemsets.count_candidates(df, b))
+    assert found == {("i1",): 70_001, ("i1", "i2"): 35_001, ("i2", "i3"): 1, ("i1", "i3", "i999"): 1}
+    _, frequent = itemsets.son(b, 30_000, chunks=3)
+    assert as_dict(frequent) == {
+        ("i1",): 70_001,
+        ("i2",): 35_001,
+        ("i3",): 35_001,
+        ("i1", "i2"): 35_001,
+        ("i1", "i3"): 35_001,
+    }
