@@ -20,7 +20,7 @@ from orebed.operators.features import FEATURES
 from orebed.session import stage
 
 # Learning rate, trees, depth, row and column share, least weight of a leaf, least gain, L2 and L1
-# weights, seed.
+# weights, seed. Shares of columns by level and node of 1 and a step of 0 leave them alone.
 PARAMETERS = {
     "learning_rate": 0.05,
     "n_trees": 300,
@@ -31,9 +31,28 @@ PARAMETERS = {
     "least_gain": 1.0,
     "l2": 2.0,
     "l1": 0.5,
+    "level_share": 1.0,
+    "node_share": 1.0,
+    "most_step": 0.0,
     "seed": 2000,
 }
 
+# The settings to try.
+SEARCH = {
+    "learning_rate": [0.05, 0.1, 0.2],
+    "n_trees": [200, 300, 400],
+    "max_depth": [10, 15, 20],
+    "row_share": [0.6, 0.7, 0.8],
+    "column_share": [0.5, 0.6, 0.7],
+    "min_child": [5, 10, 15],
+    "least_gain": [0, 1, 2],
+    "l2": [1, 2, 3],
+    "l1": [0, 0.5, 1],
+    "level_share": [0.5, 0.6, 0.7],
+    "node_share": [0.5, 0.6, 0.7],
+    "most_step": [0, 1, 2],
+}
+
 # Bins of a feature, 256 at most, and trees after which margins are written.
 BINS = 64
 TREES_A_TABLE = 10
@@ -171,7 +190,7 @@ def histogram(
 
 def _sampled(number: np.ndarray, seed: int, share: float) -> np.ndarray:
     """A share of the rows by a mixed hash of their number and the seed."""
-    x = number.astype(np.uint64) + np.uint64(seed) * np.uint64(0x9E3779B97F4A7C15)
+    x = number.astype(np.uint64) + np.uint64(seed * 0x9E3779B97F4A7C15 % (1 << 64))
     for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
         x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
     return (x >> np.uint64(11)).astype(float) < share * float(1 << 53)
@@ -205,9 +224,10 @@ def split_gains(sums: DataFrame, least_gain: float, l2: float, l1: float, min_ch
     return left.where(enough).withColumn("gain", gain)
 
 
-def leaf_value(g: float, h: float, l1: float, l2: float) -> float:
-    """The value that lowers a leaf's regularised error most."""
-    return -float(np.sign(g)) * max(abs(g) - l1, 0.0) / (h + l2)
+def leaf_value(g: float, h: float, l1: float, l2: float, most_step: float = 0.0) -> float:
+    """The value that lowers a leaf's regularised error most, no larger than ``most_step`` unless that is 0."""
+    value = -float(np.sign(g)) * max(abs(g) - l1, 0.0) / (h + l2)
+    return max(-most_step, min(most_step, value)) if most_step else value
 
 
 def fit(
@@ -233,11 +253,10 @@ def fit(
     rng = np.random.default_rng(p["seed"])
     grown: list[Tree] = []
     pending: list[Tree] = []
-    n_columns = max(1, round(p["column_share"] * len(features)))
     for number in range(p["n_trees"]):
-        columns = sorted(rng.choice(len(features), n_columns, replace=False).tolist())
+        columns = _some(rng, range(len(features)), p["column_share"])
         sample = (p["seed"] + number, p["row_share"]) if p["row_share"] < 1 else None
-        tree = _grown(table, model.base, pending, columns, len(features), sample, p)
+        tree = _grown(table, model.base, pending, columns, len(features), sample, p, rng)
         grown.append(tree)
         pending.append(tree)
         if len(pending) == TREES_A_TABLE:
@@ -246,16 +265,26 @@ def fit(
     return model
 
 
+def _some(rng: np.random.Generator, columns: Sequence[int], share: float) -> list[int]:
+    """A share of the columns, one at least."""
+    n = max(1, round(share * len(columns)))
+    return sorted(rng.choice(list(columns), n, replace=False).tolist()) if n < len(columns) else list(columns)
+
+
 def _grown(
-    table: DataFrame, base: float, pending: list[Tree], columns: list[int], n: int, sample, p: Mapping
+    table: DataFrame, base: float, pending: list[Tree], columns: list[int], n: int, sample, p: Mapping, rng
 ) -> Tree:
     """One tree over bins, level by level; only the best split of each node passes through the driver."""
     tree, active = Tree(), [0]
     order = F.struct("gain", -F.col("feature"), -F.col("bin"))
     best = F.max_by(F.struct("feature", "bin", "g_left", "h_left", "g", "h", "gain"), order).alias("best")
-    value = lambda g, h: p["learning_rate"] * leaf_value(g, h, p["l1"], p["l2"])
+    value = lambda g, h: p["learning_rate"] * leaf_value(g, h, p["l1"], p["l2"], p["most_step"])
     for _ in range(p["max_depth"]):
-        sums = histogram(table, base, pending, tree, active, columns, n, sample)
+        of_level = _some(rng, columns, p["level_share"])
+        sums = histogram(table, base, pending, tree, active, of_level, n, sample)
+        if p["node_share"] < 1:
+            allowed = [(node, f) for node in active for f in _some(rng, of_level, p["node_share"])]
+            sums = sums.join(table.sparkSession.createDataFrame(allowed, "node long, feature long"), ["node", "feature"])
         gains = split_gains(sums, p["least_gain"], p["l2"], p["l1"], p["min_child"])
         found = gains.where(F.col("gain") > 0).groupBy("node").agg(best).orderBy("node").collect()
         active = []
@@ -327,3 +356,63 @@ def load(spark: SparkSession, path: str) -> Booster:
         for values, v in zip(vars(trees[tree]).values(), row[1:]):
             values.append(v)
     return Booster(json.loads(features), base, trees)
+
+
+@dataclass
+class Found:
+    """The settings chosen, their model of all training rows, and what was tried: ``(round, settings, rmse)``."""
+
+    settings: dict
+    model: Booster
+    tried: list[tuple[int, dict, float]]
+
+
+def search(
+    rows: DataFrame,
+    label: str = "stars",
+    features: Sequence[str] = FEATURES,
+    grid: Mapping[str, Sequence] = SEARCH,
+    most_settings: int = 27,
+    keep_one_in: int = 3,
+    seed: int = PARAMETERS["seed"],
+    **parameters,
+) -> Found:
+    """Successive halving: all settings are tried with few trees on few rows, the best of them with more, the last with all.
+
+    ``grid`` has the values of each parameter; of more than ``most_settings`` combinations that many are drawn by ``seed``. A round keeps the
+    best one in ``keep_one_in`` by the error on a quarter of the rows, which no round learns from; the last round has all trees
+    and all other rows. ``parameters`` hold for all settings.
+    """
+    names = list(grid)
+    n_all = int(np.prod([len(grid[k]) for k in names], dtype=object))
+    rng = np.random.default_rng(seed)
+    drawn = range(n_all) if n_all <= most_settings else sorted(rng.choice(n_all, most_settings, replace=False).tolist())
+    left = []
+    for number in drawn:
+        settings = {}
+        for k in names:
+            number, at = divmod(number, len(grid[k]))
+            settings[k] = grid[k][at]
+        left.append(settings)
+    numbered = stage(rows.where(F.col(label).isNotNull()).withColumn("__row", F.monotonically_increasing_id()))
+    place = F.pmod(F.xxhash64(F.lit(seed), "__row"), F.lit(1 << 20))
+    check, train = numbered.where(place < 1 << 18), numbered.where(place >= 1 << 18)
+    rounds = 1
+    while keep_one_in**rounds < len(left):
+        rounds += 1
+    tried: list[tuple[int, dict, float]] = []
+    for turn in range(rounds):
+        share = float(keep_one_in) ** (turn + 1 - rounds)
+        part = train.where(place < F.lit((1 << 18) + int(share * (3 << 18))))
+        results = []
+        for settings in left:
+            given = {**PARAMETERS, **parameters, **settings}
+            given["n_trees"] = max(1, round(share * given["n_trees"]))
+            model = fit(part, label, features, **given)
+            scored = predict(model, check)
+            rmse = scored.agg(F.sqrt(F.avg(F.pow(F.col("prediction") - F.col(label), F.lit(2.0))))).first()[0]
+            results.append((float("inf") if rmse is None else rmse, len(results), settings, model))
+            tried.append((turn, settings, results[-1][0]))
+        results.sort(key=lambda r: r[:2])
+        left = [r[2] for r in results[: max(1, -(-len(left) // keep_one_in))]]
+    return Found(results[0][2], results[0][3], tried)

@@ -89,7 +89,7 @@ def test_regularisation_shares_and_bins(spark):
     df = frame(spark, x, y)
     few = boosting.fit(df, features=FEATURES, **{**P, "least_gain": 1e6})
     assert [len(t.feature) for t in few.trees] == [1, 1, 1]
-    shares = {**P, "row_share": 0.7, "column_share": 0.4, "n_trees": 12, "learning_rate": 0.3}
+    shares = {**P, "row_share": 0.7, "column_share": 0.4, "n_trees": 8, "learning_rate": 0.4}
     model = boosting.fit(df, features=FEATURES, bins=16, **shares)
     assert all(len({f for f in t.feature if f >= 0}) <= 1 for t in model.trees)
     error = lambda m: float(np.mean((m - y) ** 2))
@@ -102,6 +102,34 @@ def test_odd_rows(spark):
     assert boosting.fit(none, features=FEATURES, **P).trees == []
     rows = [(float(i % 5), None, float("nan"), float(i % 5 > 2)) for i in range(60)] + [(1.0, 1.0, 1.0, None)]
     df = spark.createDataFrame(rows, schema)
-    model = boosting.fit(df, features=FEATURES, **{**P, "n_trees": 8})
+    model = boosting.fit(df, features=FEATURES, **{**P, "n_trees": 5, "learning_rate": 0.6})
     found = {r["a"]: r["prediction"] for r in boosting.predict(model, df.where("b IS NULL")).collect()}
     assert found[0.0] < 0.2 and found[4.0] > 0.8
+
+
+def test_halving_chooses_as_a_full_search_does(spark):
+    x, y = data()
+    df = frame(spark, np.repeat(x, 5, axis=0), np.repeat(y, 5))
+    grid = {"learning_rate": [0.01, 0.3], "max_depth": [1, 2]}
+    same = {**{k: v for k, v in P.items() if k not in grid}, "n_trees": 4}
+    found = boosting.search(df, features=FEATURES, grid=grid, **same)
+    full = boosting.search(df, features=FEATURES, grid=grid, keep_one_in=4, **same)
+    assert [t for t, _, _ in found.tried] == [0] * 4 + [1] * 2 and [t for t, _, _ in full.tried] == [0] * 4
+    assert found.settings == full.settings == {"learning_rate": 0.3, "max_depth": 2}
+    assert found.model == full.model
+
+
+def test_search_draws_from_the_fixed_values(spark):
+    x, y = data()
+    small = {"n_trees": [1], "max_depth": [1, 2]}
+    found = boosting.search(frame(spark, x, y), features=FEATURES, grid={**boosting.SEARCH, **small}, most_settings=3)
+    assert len(found.tried) == 3 and all(set(s) == set(boosting.SEARCH) for _, s, _ in found.tried)
+    for _, settings, _ in found.tried:
+        assert all(v in {**boosting.SEARCH, **small}[k] for k, v in settings.items())
+
+
+def test_steps_and_shares_by_level_and_node(spark):
+    x, y = data()
+    model = boosting.fit(frame(spark, x, y), features=FEATURES, **{**P, "most_step": 0.1, "level_share": 0.7, "node_share": 0.5})
+    assert max(abs(v) for t in model.trees for v in t.value) <= 0.1 * P["learning_rate"] + 1e-12
+    assert any(len(t.feature) > 1 for t in model.trees)
