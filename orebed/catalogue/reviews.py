@@ -87,6 +87,21 @@ def partition_totals(spark, sf_dir):
     return totals.withColumn("n_split_keys", split.scalar())
 
 
+@query(
+    "bucketed_businesses",
+    with_views("reviews", "business")
+    + """SELECT b.business_id, city, n, round(mean, 6) AS mean FROM business AS b JOIN
+    (SELECT business_id, count(*) AS n, avg(stars) AS mean FROM reviews GROUP BY business_id) AS r
+    ON b.business_id = r.business_id""",
+)
+def bucketed_businesses(spark, sf_dir):
+    """Grouped by and joined on the key of tables that are bucketed by it."""
+    reviews = layout.bucketed(view(spark, sf_dir, "reviews").select("business_id", "stars"), ["business_id"], 8)
+    business = layout.bucketed(view(spark, sf_dir, "business").select("business_id", "city"), ["business_id"], 8)
+    by_business = reviews.groupBy("business_id").agg(F.count(F.lit(1)).alias("n"), F.avg("stars").alias("mean"))
+    return rounded(business.hint("merge").join(by_business, "business_id"), "mean")
+
+
 _CITY = """SELECT city, round(avg(r.stars), 6) AS stars
     FROM business AS b JOIN reviews AS r ON b.business_id = r.business_id GROUP BY city"""
 

@@ -1,5 +1,5 @@
 """The end-to-end jobs: each reads files, runs the operators and writes its
-result folder. All return what they wrote as DataFrames."""
+result folder. All return what they wrote as DataFrames; their other staged tables are freed."""
 
 from __future__ import annotations
 
@@ -19,7 +19,7 @@ from orebed.operators import (
     regression,
     similarity,
 )
-from orebed.session import stage
+from orebed.session import freeing, stage
 from orebed.sources import readers, schemas, writers
 
 # Column names of the result files.
@@ -27,6 +27,7 @@ PAIR_COLUMNS = ["business_id_1", "business_id_2", "similarity"]
 PREDICTION_COLUMNS = ["user_id", "business_id", "prediction"]
 
 
+@freeing
 def review_summary_job(
     spark: SparkSession, reviews_path: str, out_path: str, year: int = 2018, k: int = 10
 ) -> DataFrame:
@@ -34,11 +35,12 @@ def review_summary_job(
     needed = ("user_id", "business_id", "date")
     reviews = readers.read_json_lines(spark, reviews_path, schemas.REVIEW, needed)
     timed = reviews.withColumn("date", scalar.parse_timestamp(F.col("date")))
-    summary = stage(counts.review_summary(timed, year, k))
+    summary = stage(counts.review_summary(timed, year, k), keep=True)
     writers.write_json(summary, out_path)
     return summary
 
 
+@freeing
 def layout_job(
     spark: SparkSession, reviews_path: str, out_path: str, n: int = 10, k: int = 10
 ) -> DataFrame:
@@ -59,11 +61,12 @@ def layout_job(
             F.transform(ordered, lambda x: x["n_items"]).alias("n_items"),
         ).withColumn("top", top)
         rows = row if rows is None else rows.unionByName(row)
-    rows = stage(rows)
+    rows = stage(rows, keep=True)
     writers.write_json(rows, out_path)
     return rows
 
 
+@freeing
 def city_job(
     spark: SparkSession,
     business_path: str,
@@ -76,7 +79,7 @@ def city_job(
     business = readers.read_json_lines(spark, business_path, schemas.BUSINESS, ("business_id",))
     needed = ("business_id", "stars")
     reviews = readers.read_json_lines(spark, reviews_path, schemas.REVIEW, needed)
-    means = stage(cities.city_mean_stars(business, reviews))
+    means = stage(cities.city_mean_stars(business, reviews), keep=True)
     ordered = cities.sorted_cities(means)
     writers.write_csv(ordered, means_path)
     top = ordered.limit(k)
@@ -84,6 +87,7 @@ def city_job(
     return ordered, top
 
 
+@freeing
 def itemset_job(
     spark: SparkSession,
     threshold: int,
@@ -109,7 +113,7 @@ def itemset_job(
         )
     b = itemsets.filter_baskets(b, threshold)
     candidates, frequent = itemsets.son(b, support, chunks)
-    frequent = stage(frequent)
+    candidates, frequent = stage(candidates, keep=True), stage(frequent, keep=True)
     report = writers.itemset_report(
         ("Candidates:", candidates), ("Frequent Itemsets:", frequent)
     )
@@ -117,6 +121,7 @@ def itemset_job(
     return candidates, frequent
 
 
+@freeing
 def similarity_job(
     spark: SparkSession,
     in_path: str,
@@ -139,11 +144,12 @@ def similarity_job(
         pairs = similarity.list_pairs(pairs, members, threshold)
     else:
         writers.write_csv(members.select("set_id", "first_id"), copies_path)
-    ordered = similarity.sorted_pairs(stage(pairs)).toDF(*PAIR_COLUMNS)
+    ordered = similarity.sorted_pairs(stage(pairs, keep=True)).toDF(*PAIR_COLUMNS)
     writers.write_csv(ordered, out_path)
     return ordered
 
 
+@freeing
 def cf_job(
     spark: SparkSession,
     train_path: str,
@@ -156,12 +162,13 @@ def cf_job(
     columns = ("user_id", "business_id", "stars")
     train = stage(cf.triples(readers.read_ratings(spark, train_path), *columns))
     val = cf.triples(readers.read_ratings(spark, val_path), *columns)
-    weights = stage(cf.item_weights(train, min_common))
-    predictions = stage(cf.predict(train, weights, val, n_neighbours)).toDF(*PREDICTION_COLUMNS)
+    weights = stage(cf.item_weights(train, min_common), keep=True)
+    predictions = stage(cf.predict(train, weights, val, n_neighbours), keep=True).toDF(*PREDICTION_COLUMNS)
     writers.write_csv(predictions, out_path)
     return weights, predictions
 
 
+@freeing
 def rating_job(
     spark: SparkSession,
     train_path: str,
@@ -184,7 +191,8 @@ def rating_job(
     train = readers.read_ratings(spark, train_path)
     val = readers.read_ratings(spark, val_path)
     sources = (
-        readers.read_json_lines(spark, business_path, schemas.BUSINESS, business),
+        # Of several lines for a business the last in the files counts.
+        readers.read_json_lines(spark, business_path, schemas.BUSINESS, business).withColumn("order", readers.place()),
         readers.read_json_lines(spark, reviews_path, schemas.REVIEW, user),
         readers.read_json_lines(spark, tips_path, schemas.TIP, business),
         readers.read_json_lines(spark, photos_path, schemas.PHOTO, business),
@@ -192,7 +200,7 @@ def rating_job(
     both = train.withColumn("part", F.lit("train")).unionByName(
         val.withColumn("part", F.lit("val"))
     )
-    table = stage(features.rating_features(both, *sources))
+    table = stage(features.rating_features(both, *sources, order="order"))
     if codes_path is not None:
         for column in ("user_id", "business_id"):
             known = stage(encode.encode(train, column))
@@ -200,6 +208,6 @@ def rating_job(
     model = regression.fit_ratings(table.where(F.col("part") == "train"), **parameters)
     if model_path is not None:
         regression.save_model(model, model_path)
-    scored = stage(regression.predict_ratings(model, table))
+    scored = stage(regression.predict_ratings(model, table), keep=True)
     writers.write_csv(scored.where(F.col("part") == "val").select(*PREDICTION_COLUMNS), out_path)
     return counts.rmse(scored, "prediction", "stars", "part")

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,16 +72,29 @@ def staging(spark: SparkSession) -> Iterator[None]:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def stage(df: DataFrame) -> DataFrame:
+def freeing(function: Callable) -> Callable:
+    """A job, its session the first argument, that frees what it staged and did not ``keep`` when it returns."""
+
+    @wraps(function)
+    def job(spark: SparkSession, *args, **options):
+        with staging(spark):
+            return function(spark, *args, **options)
+
+    return job
+
+
+def stage(df: DataFrame, keep: bool = False) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
+    With ``keep`` it outlives the scope that is open, as what a job returns has to.
+
     Cuts the lineage, is computed once, survives the loss of executors, and
     gives later joins the true size of the table, which ``checkpoint()``
     does not.
     """
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/orebed-{uuid.uuid4().hex}"
     folders = _STAGED.get()
-    if folders is not None:
+    if folders is not None and not keep:
         folders.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

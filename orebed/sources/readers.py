@@ -35,6 +35,15 @@ def read_json_lines(
     return require(df, required)
 
 
+def place() -> Column:
+    """Where a row of a file scan stands, in the order of files by name and lines within; for a column of the scan itself."""
+    return F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),
+    )
+
+
 def read_split_csv(
     spark: SparkSession,
     path: str,

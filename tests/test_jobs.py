@@ -6,7 +6,9 @@ import pytest
 
 from orebed.fixtures import view
 from orebed.functions.scalar import TIMESTAMP_FORMAT
+from orebed.operators import features
 from orebed.plans import jobs
+from orebed.sources import readers, schemas
 from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
@@ -111,3 +113,12 @@ def test_ratings(spark, folder, tmp_path):
     assert {r.part for r in errors.collect()} == {"train", "val"}
     assert lines(tmp_path / "o")[0] == "user_id,business_id,prediction"
     assert spark.read.parquet(str(tmp_path / "c" / "user_id")).count() > 0
+
+
+def test_of_repeated_business_lines_the_last_counts(spark, tmp_path):
+    path = tmp_path / "business.json"
+    line = '{"business_id": "b", "city": "c", "stars": %s, "review_count": %d, "is_open": 1}\n'
+    path.write_text(line % (5.0, 9) + line % (4.0, 8) + line % (1.0, 1))
+    rows = readers.read_json_lines(spark, str(path), schemas.BUSINESS, ("business_id",)).withColumn("order", readers.place())
+    (found,) = features.business_attrs(rows, "order").collect()
+    assert (found.biz_stars, found.biz_review_count) == (1.0, 1)

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from orebed import session
 from orebed.functions import skew
+from orebed.operators import layout
+from orebed.plans import jobs
 
 SF = "/root/testdata/sf0.001"
 NAMES = [
@@ -98,3 +100,24 @@ def test_staged_tables_are_freed(spark, tmp_path):
         outer.write.parquet(str(tmp_path / "out"))
     assert set(folder.iterdir()) == before
     assert spark.read.parquet(str(tmp_path / "out")).count() == 3
+
+
+def test_jobs_free_what_they_staged(spark, tmp_path):
+    folder = Path(session.shared_folder(spark))
+    lines = [f'"1/{d}/2000","c{d % 3}","","","","p{d % 4}"' for d in range(60)]
+    (tmp_path / "tx.csv").write_text("\n".join(["DATE,CUSTOMER,X,Y,Z,PRODUCT", *lines]))
+    before = set(folder.iterdir())
+    candidates, frequent = jobs.itemset_job(spark, 0, 2, str(tmp_path / "tx.csv"), str(tmp_path / "out"))
+    # Only what the job returns is left, and can be read.
+    assert len(set(folder.iterdir()) - before) == 2
+    assert candidates.count() >= frequent.count() > 0
+
+
+def test_bucketed_tables_need_no_exchange(spark):
+    reviews = spark.range(5000).selectExpr("id % 300 AS k", "id AS v")
+    one, two = layout.bucketed(reviews, ["k"], 4), layout.bucketed(reviews.distinct(), ["k"], 4)
+    grouped = one.groupBy("k").agg(F.sum("v").alias("v"))
+    joined = one.hint("merge").join(two.groupBy("k").count(), "k").groupBy("k").agg(F.max("count").alias("c"))
+    for df in (grouped, joined):
+        assert df.count() == 300
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
