@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orebed.llm import decontaminate, secret_scan, simhash, toxicity
 from orebed.llm.queries import pack, table
-from orebed.session import stage
+from orebed.session import stage, staging
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,8 +48,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written to the shared folder and read again."""
+    """All stages over ``documents``, each written to the shared folder and read again; only the last one's rows stay there."""
     docs = table(spark, sf_dir, "documents")
-    for _, function in STAGES:
-        docs = stage(function(spark, docs, sf_dir))
+    with staging(spark):
+        for name, function in STAGES:
+            docs = stage(function(spark, docs, sf_dir), keep=name == STAGES[-1][0])
     return docs
