@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orebed.functions.skew import heavy_of, replicated, salted
+from orebed.functions.skew import heavy_keys, heavy_of, replicated, salted
 from orebed.llm.common import parts, per_text
 from orebed.session import stage
 
@@ -32,6 +32,9 @@ LEAST_CHARS = 10
 #: Keys of one shard when an index is made; one filter of a shard has room for about as many.
 SHARD_KEYS = 200_000
 
+#: A key with more than a thousandth of all rows, and at least so many, is split over tasks.
+HOT_ROWS = 1_000
+
 #: Fingerprints in a bucket, and moves tried before a filter counts as full.
 SLOTS = 4
 MOVES = 200
@@ -282,7 +285,10 @@ def insert(
 
 def _counted(references: DataFrame, keys: DataFrame) -> DataFrame:
     """Exact counts of the ``keys`` that two documents or more hold: ``shard, key, n_docs, first_doc``."""
-    held = references.join(keys, ["shard", "key"], "left_semi").distinct()
+    key = ["shard", "key"]
+    heavy = stage(heavy_keys(references, key, min_rows=HOT_ROWS))
+    spread = salted(references, heavy, key, ["doc"])
+    held = spread.join(replicated(keys, heavy, key), [*key, "salt"], "left_semi").drop("salt").distinct()
     # A null id is the greatest, so min leaves it out unless it is alone.
     counts = held.groupBy("shard", "key").agg(F.count(F.lit(1)).alias("n_docs"), F.min("doc").alias("first_doc"))
     return counts.where(F.col("n_docs") > 1)
@@ -343,7 +349,7 @@ def dedupe(documents: DataFrame, index: LineIndex, id_col: str = "doc_id", text_
     key = ["shard", "key"]
     repeated = index.repeated.where(F.col("n_docs") > 1)
     counts = repeated.select(*key, F.col("n_docs").alias("n_rows"))
-    heavy = heavy_of(counts)
+    heavy = heavy_of(counts, min_rows=HOT_ROWS)
     later = ~F.col("doc").eqNullSafe(F.col("first_doc"))
     held = salted(index.references, heavy, key, ["doc"])
     first = replicated(repeated.select(*key, "first_doc"), heavy, key)
