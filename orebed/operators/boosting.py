@@ -129,7 +129,9 @@ def binned(rows: DataFrame, features: Sequence[str], cuts: Sequence[np.ndarray],
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), zero, bins], ["row", "y", "margin", "bins"])
 
     doubles = [F.col(f).cast("double") for f in features]
-    source = rows.select(F.monotonically_increasing_id().alias("row"), F.col(label).cast("double").alias("y"), *doubles)
+    # Rows are small and looked at for every level of every tree: a number of partitions given is not merged by size.
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    source = rows.select(label, *features).repartition(tasks).select(F.monotonically_increasing_id().alias("row"), F.col(label).cast("double").alias("y"), *doubles)
     return source.mapInArrow(run, "row long, y double, margin double, bins binary")
 
 
@@ -185,6 +187,8 @@ def histogram(
             yield pa.RecordBatch.from_arrays(arrays, ["node", "feature", "bin", "g", "h"])
 
     parts = rows.mapInArrow(run, "node long, feature long, bin long, g double, h double")
+    # Tasks have added up their rows; dealt like this, the sums and the running sums of split_gains need one exchange.
+    parts = parts.repartition("node", "feature")
     return parts.groupBy("node", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
 
 
@@ -286,9 +290,9 @@ def _grown(
             allowed = [(node, f) for node in active for f in _some(rng, of_level, p["node_share"])]
             sums = sums.join(table.sparkSession.createDataFrame(allowed, "node long, feature long"), ["node", "feature"])
         gains = split_gains(sums, p["least_gain"], p["l2"], p["l1"], p["min_child"])
-        found = gains.where(F.col("gain") > 0).groupBy("node").agg(best).orderBy("node").collect()
+        found = gains.where(F.col("gain") > 0).groupBy("node").agg(best).collect()
         active = []
-        for node, s in found:
+        for node, s in sorted(found, key=lambda row: row[0]):
             right = s.g - s.g_left, s.h - s.h_left
             children = tree.grow(node, s.feature, s.bin, (value(s.g_left, s.h_left), value(*right)))
             sizes = s.h_left, right[1]
