@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from orebed.catalogue.registry import ORACLES, query
 from orebed.fixtures import view, with_views
 from orebed.functions import scalar
-from orebed.operators import encode, itemsets
+from orebed.operators import encode, itemsets, shards
 from orebed.session import shared_folder, stage
 from orebed.sources import writers
 
@@ -152,6 +152,13 @@ def large_son_itemsets(spark, sf_dir):
     return _as_text(itemsets.son(b, _support(b, FEW_IN), chunks=2)[1])
 
 
+@query("sharded_itemsets", _LARGE_SQL)
+def sharded_itemsets(spark, sf_dir):
+    """The same by shards of item groups."""
+    b = _big_baskets(spark, sf_dir)
+    return _as_text(shards.sharded_itemsets(b, _support(b, FEW_IN)))
+
+
 @query(
     "frequent_pairs_fpgrowth",
     with_views("big_tx")

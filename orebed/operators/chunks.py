@@ -33,7 +33,7 @@ def mine(rows: DataFrame, support: int, total: int) -> DataFrame:
         basket, values, codes = _coded(chunk["basket"], chunk["item"])
         m = int(basket.max()) + 1
         need = max(1, -(-m * support // total))
-        for found in _batches(frequent(basket, codes, m, need)):
+        for found in batched(frequent(basket, codes, m, need)):
             offsets = np.r_[0, np.cumsum([len(s) for s in found])].astype(np.int32)
             flat = values.take(pa.array([x for s in found for x in s], pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(offsets), flat)], ["itemset"])
@@ -52,7 +52,7 @@ def _coded(baskets: pa.ChunkedArray, items: pa.ChunkedArray) -> tuple[np.ndarray
     return basket, coded.dictionary.take(pa.array(order)), rank[pc.fill_null(coded.indices, -1).to_numpy()]
 
 
-def _batches(sets: Iterator[tuple[int, ...]]) -> Iterator[list[tuple[int, ...]]]:
+def batched(sets: Iterator[tuple]) -> Iterator[list[tuple]]:
     some = []
     for s in sets:
         some.append(s)
@@ -64,15 +64,24 @@ def _batches(sets: Iterator[tuple[int, ...]]) -> Iterator[list[tuple[int, ...]]]
 
 
 def frequent(basket: np.ndarray, item: np.ndarray, m: int, need: int) -> Iterator[tuple[int, ...]]:
-    """Sets of item numbers in at least ``need`` of ``m`` baskets, numbers ascending.
+    """The sets of ``counted`` without their counts."""
+    return (s for s, _ in counted(basket, item, m, need))
 
-    Single items count every row. The bitmaps of a class hold the baskets of its first item only.
+
+def counted(
+    basket: np.ndarray, item: np.ndarray, m: int, need: int, first: int | None = None
+) -> Iterator[tuple[tuple[int, ...], int]]:
+    """Sets of item numbers in at least ``need`` of ``m`` baskets, numbers ascending, and their counts.
+
+    Single items count every row. The bitmaps of a class hold the baskets of its first item only. With ``first``, only
+    sets whose least number is below it.
     """
     basket, item = basket[item >= 0], item[item >= 0]
     counts = np.bincount(item) if len(item) else np.zeros(0, np.int64)
     singles = np.flatnonzero(counts >= need)
-    for i in singles.tolist():
-        yield (i,)
+    heads = len(singles) if first is None else int(np.searchsorted(singles, first))
+    for i in singles[:heads].tolist():
+        yield (i,), int(counts[i])
     # Distinct baskets of each item left, one after the other.
     order = np.lexsort((basket, item))
     basket, item = basket[order], item[order]
@@ -80,7 +89,7 @@ def frequent(basket: np.ndarray, item: np.ndarray, m: int, need: int) -> Iterato
     basket, item = basket[new], item[new]
     starts, ends = np.searchsorted(item, singles), np.searchsorted(item, singles, "right")
     place = np.full(m, -1, np.int64)
-    for a in range(len(singles)):
+    for a in range(heads):
         own = basket[starts[a] : ends[a]]
         if len(own) < need:
             continue
@@ -99,13 +108,16 @@ def frequent(basket: np.ndarray, item: np.ndarray, m: int, need: int) -> Iterato
             yield from _class((int(singles[a]),), inside, np.array(rows), need)
 
 
-def _class(prefix: tuple[int, ...], items: list[int], bitmaps: np.ndarray, need: int) -> Iterator[tuple[int, ...]]:
-    """Frequent sets that begin with ``prefix`` and go on with one or more of ``items``; all of these do once."""
+def _class(
+    prefix: tuple[int, ...], items: list[int], bitmaps: np.ndarray, need: int
+) -> Iterator[tuple[tuple[int, ...], int]]:
+    """Frequent sets that begin with ``prefix`` and go on with one or more of ``items``, with counts; all of these do once."""
     stack = [(prefix, items, bitmaps)]
     while stack:
         prefix, items, bitmaps = stack.pop()
+        counts = np.bitwise_count(bitmaps).sum(axis=1).tolist()
         for i, x in enumerate(items):
-            yield (*prefix, x)
+            yield (*prefix, x), counts[i]
             if i + 1 < len(items):
                 both = bitmaps[i + 1 :] & bitmaps[i]
                 enough = np.flatnonzero(np.bitwise_count(both).sum(axis=1) >= need)
