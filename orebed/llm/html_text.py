@@ -2,8 +2,8 @@
 
 Paragraphs pass points for their length and commas to their ancestors, each step up worth
 less, and links discount what an element gets. The element with the most points is the
-container of the article; if it lies in an article or main element that one is taken, and siblings
-that hold text of the same kind are kept. Navigation, headers, footers, sidebars,
+container of the article; if it lies in an article or main element that one is taken. Siblings of the container, or
+other articles beside its article, that hold text of the same kind are kept. Navigation, headers, footers, sidebars,
 notices, adverts, forms, comments, scripts and styles go.
 """
 
@@ -52,6 +52,8 @@ _UNLIKELY = frozenset(
     " signup login share sharing social related recommended widget toolbar pagination pager skip byline-social".split()
 )
 _PAGE_HEADER = frozenset({"header"})
+#: Words that name a picture's box or caption, whatever size or place its name adds.
+_PICTURE = frozenset("caption figure image photo picture".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>""")
@@ -64,13 +66,14 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 class Node:
     """An element: its children are elements and strings."""
 
-    __slots__ = ("tag", "parent", "children", "drop", "words", "points", "text", "linked", "commas", "links", "paragraph")
+    __slots__ = ("tag", "parent", "children", "drop", "words", "points", "text", "linked", "commas", "links", "paragraph", "in_article")
 
     def __init__(self, tag: str, parent: Node | None, attributes: str = ""):
         self.tag, self.parent, self.children = tag, parent, []
         self.points, self.text, self.linked, self.commas, self.links = 0.0, 0, 0, 0, 0
         #: The open paragraph that a block would end, if any.
         self.paragraph = self if tag == "p" else None if parent is None or tag in _BOUNDS else parent.paragraph
+        self.in_article = parent is not None and (parent.in_article or parent.tag == "article")
         self.words, self.drop = frozenset(), tag in _SKIPPED
         if attributes:
             self._read(attributes)
@@ -209,6 +212,8 @@ def _mark(nodes: list[Node]) -> None:
             within.add(node)
     for node in nodes:
         unlikely = node.words & _UNLIKELY or node.words & _PAGE_HEADER and node.tag != "h1"
+        if node in within and node.tag in ("figure", "figcaption") and node.words & _PICTURE:
+            unlikely = False
         if unlikely and node not in holds and node not in spared and node.tag not in ("html", "body", "main"):
             node.drop = True
         if node.tag == "header" and node not in within:
@@ -269,6 +274,20 @@ def _heading(node: Node) -> bool:
     return node.tag in ("h1", "h2", "h3") or bool(inner) and all(isinstance(c, Node) and c.tag in ("h1", "h2", "h3") for c in inner)
 
 
+def _articles(nodes: list[Node], outer: Node, score) -> list[Node]:
+    """An article and those beside it whose best part has a fair share of the points of its own best part."""
+    if outer.parent is None or outer.tag != "article":
+        return [outer]
+    peak: dict[Node, float] = {}
+    for node in nodes:  # children first
+        peak[node] = max(peak.get(node, 0.0), 0.0 if node.drop else score(node))
+        if node.parent is not None:
+            peak[node.parent] = max(peak.get(node.parent, 0.0), peak[node])
+    least = max(3.0, 0.2 * peak[outer])
+    beside = [c for c in outer.parent.children if isinstance(c, Node) and c.tag == "article" and not c.drop]
+    return [c for c in beside if c is outer or peak[c] >= least]
+
+
 def _container(nodes: list[Node], root: Node) -> list[Node]:
     """The best container, or the article that it lies in, and the siblings to keep."""
     live = [n for n in nodes if not n.drop]
@@ -284,7 +303,7 @@ def _container(nodes: list[Node], root: Node) -> list[Node]:
             outer = at
         at = at.parent
     if outer is not None:
-        return [outer]
+        return _articles(nodes, outer, score)
     if best.parent is None or best.tag in ("body", "html"):
         return [best]
     least, kept = max(3.0, 0.2 * score(best)), []
@@ -300,8 +319,9 @@ def _container(nodes: list[Node], root: Node) -> list[Node]:
 
 
 def _menu(node: Node) -> bool:
-    """A list or box that is mostly links."""
+    """A list or box that is mostly links, but no list within an article."""
     lists = node.tag in ("ul", "ol", "dl", "div", "table", "section")
+    lists = lists and not (node.in_article and node.tag in ("ul", "ol", "dl"))
     return lists and node.text > 0 and node.linked > 0.6 * node.text and node.links > 1
 
 

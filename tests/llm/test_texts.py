@@ -345,3 +345,28 @@ def test_names_do_not_delete_what_holds_the_text(name):
     text = "This is the text, long enough to be an article, with commas, and sentences that go on."
     page = f"<body><div class='menu'><a href=x>Home</a></div><div class='{name}'><p>{text}</p><p>{text}</p></div><div class='comments'><p>First, and more!</p></div></body>"
     assert html_text.main_text(page) == f"{text} {text}"
+
+
+def test_articles_side_by_side_both_stay():
+    one = "<p>AAA one, two, three and some more text of it here.</p>"
+    two = "<p>BBB one, two, three, and four and some more text here.</p>"
+    teaser = "<article><h3><a href=x>More of this</a></h3><p>short</p></article>"
+    page = f"<body><article>{one}</article><article>{two}</article>{teaser}</body>"
+    assert html_text.main_text(page) == re.sub("<.*?>", " ", one + two).replace("  ", " ").strip()
+    long = f"<p>{'A long line, with commas, that goes on. ' * 10}</p>" * 6
+    assert "BBB" not in html_text.main_text(f"<article>{long}</article><article>{two[:30]}</p></article>")
+
+
+def test_link_lists_and_captions_of_an_article_stay():
+    text = "A paragraph, with commas, that goes on for a while, as they do."
+    links = "<ul><li><a href=a>First source</a></li><li><a href=b>Second source</a></li></ul>"
+    picture = '<figure class="image share-large"><img src=x><figcaption>A view</figcaption></figure>'
+    advert = '<figure class="ad"><figcaption>Buy it</figcaption></figure>'
+    page = f"{links}<article><p>{text}</p>{links}{picture}{advert}<nav>{links}</nav><p>{text}</p></article>{links}"
+    assert html_text.main_text(page) == f"{text} First source Second source A view {text}"
+
+
+def test_nested_link_lists_take_linear_time():
+    started = time.perf_counter()
+    html_text.main_text("<article><p>words, of text that is long enough</p>" + "<ul><li><a href=x>link</a><a href=y>it</a>" * 20_000)
+    assert time.perf_counter() - started < 5
