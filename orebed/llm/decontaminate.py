@@ -10,10 +10,12 @@ from __future__ import annotations
 
 import re
 import uuid
+from functools import reduce
 from itertools import repeat
 
 import ahocorasick
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +28,9 @@ WINDOW = 10
 #: scanned with each in turn.
 SHARD_BYTES = 1_000_000
 
+#: Windows of an item that are kept together when a large benchmark is cut.
+PIECE_WINDOWS = 10_000
+
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
 
@@ -81,8 +86,31 @@ def places(text: bytes, hits: np.ndarray) -> list[dict]:
     return [{"word": i, "start": at[i][0], "end": at[i][1]} for i in hits.tolist()]
 
 
-def _shards(benchmark: DataFrame, item_col: str, text_col: str, shard_bytes: int) -> list[DataFrame]:
-    """The benchmark in tables of about ``shard_bytes`` of text each."""
+def _cut(window: int, windows: int):
+    """A function that cuts long items, ``item, text``, so that each window is whole in one piece."""
+
+    def run(batches):
+        for batch in batches:
+            items, texts = [], []
+            for item, text in zip(*(batch.column(i).to_pylist() for i in (0, 1))):
+                words = plain_words(text)
+                last = len(words) - window + 1  # windows in all
+                if last <= windows:
+                    items.append(item)
+                    texts.append(text)
+                    continue
+                for start in range(0, last, windows):
+                    items.append(item)
+                    texts.append(b" ".join(words[start : min(start + windows, last) + window - 1]))
+            yield pa.RecordBatch.from_arrays([pa.array(items, pa.string()), pa.array(texts, pa.binary())], ["item", "text"])
+
+    return run
+
+
+def _shards(
+    benchmark: DataFrame, item_col: str, text_col: str, shard_bytes: int, window: int = WINDOW, windows: int = PIECE_WINDOWS
+) -> list[DataFrame]:
+    """The benchmark in tables of about ``shard_bytes`` of text each; items of more ``windows`` are cut."""
     items = benchmark.select(
         F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("binary").alias("text")
     ).where(F.col("text").isNotNull())
@@ -92,6 +120,7 @@ def _shards(benchmark: DataFrame, item_col: str, text_col: str, shard_bytes: int
     n = -(-total // shard_bytes) or 1
     if n == 1:
         return [items]
+    items = items.mapInArrow(_cut(window, windows), "item string, text binary").distinct()
     items = stage(items.withColumn("shard", F.pmod(F.xxhash64("item", "text"), F.lit(n))))
     return [items.where(F.col("shard") == i).select("item", "text") for i in range(n)]
 
@@ -128,7 +157,7 @@ def find(
     items with a null id are hit, but add no item; repeated rows and items are each handled. A benchmark too large for one
     automaton is searched for in parts, whose hits are united by row; only hits are shuffled then.
     """
-    shards = _shards(benchmark, item_col, item_text, shard_bytes)
+    shards = _shards(benchmark, item_col, item_text, shard_bytes, window)
     if len(shards) == 1:
         return _scan(documents, [id_col], text_col, shards[0], window)
     rows = stage(documents.select(id_col, text_col, F.monotonically_increasing_id().alias("__row")))
@@ -164,13 +193,32 @@ def drop_contaminated(
     window: int = WINDOW,
     shard_bytes: int = SHARD_BYTES,
 ) -> DataFrame:
-    """The rows of ``documents``, all their columns, in which no window of the benchmark occurs."""
-    for shard in _shards(benchmark, "item_id", "text", shard_bytes):
-        get = _automaton(shard, window)
+    """The rows of ``documents``, all their columns, in which no window of the benchmark occurs.
+
+    Of a benchmark too large for one automaton each part is searched for on its own, in tasks with one automaton each; the
+    numbers of rows with a hit are united and taken out.
+    """
+    shards = _shards(benchmark, "item_id", "text", shard_bytes, window)
+    if len(shards) == 1:
+        get = _automaton(shards[0], window)
 
-        def make(get=get):
+        def make():
             automaton = get()
             return lambda texts: ([not automaton.scan(t)[2] for t in texts], None)
 
-        documents = change_rows(documents, text_col, make)
-    return documents
+        return change_rows(documents, text_col, make)
+    row = f"__row_{uuid.uuid4().hex}"
+    rows = stage(documents.withColumn(row, F.monotonically_increasing_id()))
+    hit = reduce(DataFrame.unionByName, [_hit(rows, row, text_col, shard, window) for shard in shards])
+    return rows.join(hit.distinct(), row, "left_anti").drop(row)
+
+
+def _hit(rows: DataFrame, row: str, text_col: str, shard: DataFrame, window: int) -> DataFrame:
+    """The numbers of rows in which a window of the shard occurs."""
+    get = _automaton(shard, window)
+
+    def make():
+        automaton = get()
+        return lambda texts: [[bool(automaton.scan(t)[2]) for t in texts]]
+
+    return per_text(rows, [row], text_col, ["hit boolean"], make).where("hit").select(row)

@@ -370,3 +370,27 @@ def test_nested_link_lists_take_linear_time():
     started = time.perf_counter()
     html_text.main_text("<article><p>words, of text that is long enough</p>" + "<ul><li><a href=x>link</a><a href=y>it</a>" * 20_000)
     assert time.perf_counter() - started < 5
+
+
+def stacked(plan):
+    """The most Arrow passes above one another in a plan."""
+    below = [stacked(plan.children().apply(i)) for i in range(plan.children().size())]
+    return max(below, default=0) + (plan.nodeName() == "MapInArrow")
+
+
+def test_a_large_benchmark_is_cut_by_windows_and_its_passes_are_not_stacked(spark, monkeypatch):
+    words = [f"w{i * 7919 % 1009}" for i in range(3_000)]
+    items = [(f"i{k}", " ".join(words[k * 100 : k * 100 + 90])) for k in range(20)] + [("long", " ".join(words)), (None, "q r s")]
+    benchmark = spark.createDataFrame(items, "item_id string, text string")
+    texts = [" ".join(words[a : a + n]) for a, n in ((5, 9), (5, 10), (95, 30), (1_990, 40), (2_990, 10), (0, 3_000))]
+    texts += [None, "", "a q r s b", "nothing of it"]
+    docs = spark.createDataFrame([(i, t, "z") for i, t in enumerate(texts)], "doc_id long, text string, __row string")
+    monkeypatch.setattr(decontaminate._shards, "__defaults__", (decontaminate.WINDOW, 37))
+    found, kept = [], []
+    for size in (10**6, 2_000):
+        found.append(sorted(decontaminate.find(docs, benchmark, shard_bytes=size).collect()))
+        left = decontaminate.drop_contaminated(docs, benchmark, shard_bytes=size)
+        assert left.columns == docs.columns
+        kept.append(sorted(r.doc_id for r in left.collect()))
+        assert stacked(left._jdf.queryExecution().optimizedPlan()) == 1
+    assert found[0] == found[1] and kept[0] == kept[1] == [0, 6, 7, 9]
