@@ -1,15 +1,16 @@
 """Benchmark decontamination with one Aho-Corasick automaton over word windows.
 
-The windows of all test questions and answers are patterns over word numbers; a text is
-scanned once, and hits are mapped back to offsets in the original text. Only the benchmark's words
-have numbers, and no pattern holds any other word, so only the runs of numbered words reach the
-automaton.
+The patterns are word numbers of all test questions and answers: anchors of five words, one in six words, of which each
+window of ten holds one whole. A text is scanned once, what is met is compared with the item to both sides, and hits are
+mapped back to offsets in the original text. Only the benchmark's words have numbers, and no pattern holds any other word,
+so only the runs of numbered words reach the automaton.
 """
 
 from __future__ import annotations
 
 import re
 import uuid
+from array import array
 from functools import reduce
 from itertools import repeat
 
@@ -26,7 +27,10 @@ WINDOW = 10
 
 #: Bytes of item text in one automaton. A larger benchmark is cut into several, and texts are
 #: scanned with each in turn.
-SHARD_BYTES = 1_000_000
+SHARD_BYTES = 8_000_000
+
+#: Places of the items at which an anchor may be and still be compared there.
+HOT = 8
 
 #: Windows of an item that are kept together when a large benchmark is cut.
 PIECE_WINDOWS = 10_000
@@ -38,26 +42,78 @@ _WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 _BUILT: dict[str, Automaton] = {}
 
 
+def _letters(numbers: np.ndarray) -> tuple[int, ...]:
+    """Word numbers as two letters each, of different alphabets: a node's branches are looked through one by one."""
+    pairs = np.stack([(numbers >> 8) + 256, numbers & 255], axis=1)
+    return tuple(pairs.ravel().tolist())
+
+
 class Automaton:
-    """Finds the windows of items ``(id, text bytes)`` in texts."""
+    """Finds the windows of items ``(id, text bytes)`` in texts.
+
+    The patterns are anchors: of each item the words at every ``stride``-th position, ``size`` of them, so placed that each
+    window holds one whole. Where an anchor is met, text and item are compared to both sides of it, and what agrees is hit
+    if it is a window or more. Anchors at more than ``HOT`` places of the items would mean as many comparisons at each
+    meeting; there the windows are patterns themselves, as are whole items of less than a window.
+    """
 
     def __init__(self, items, window: int = WINDOW):
         self.numbers: dict[bytes, int] = {}
-        self.shortest = window
-        owners: dict[tuple, set] = {}
+        self.window = window
+        self.size = size = (window + 1) // 2
+        self.stride = stride = window - size + 1
+        self.owners: list[set] = []
+        self.words, self.owner_at = array("i", [0]), array("i", [0])
+        # Items of the same words are one, with all their ids.
+        known: dict[bytes, set] = {}
         for item, text in items:
-            words = [self.numbers.setdefault(w, len(self.numbers) + 1) for w in plain_words(text)]
-            size = min(window, len(words))
-            self.shortest = min(self.shortest, size) if size else self.shortest
-            for i in range(len(words) - size + 1 if size else 0):
-                owners.setdefault(tuple(words[i : i + size]), set()).add(item)
+            words = plain_words(text)
+            if words:
+                known.setdefault(b" ".join(words), set()).add(item)
+        anchors: dict[tuple, list[int]] = {}
+        whole: dict[tuple, set[int]] = {}
+        for owner, (text, ids) in enumerate(known.items()):
+            self.owners.append(ids)
+            words = [self.numbers.setdefault(w, len(self.numbers) + 1) for w in text.split()]
+            if len(words) < window:
+                whole.setdefault(tuple(words), set()).add(owner)
+                continue
+            start = len(self.words)
+            self.words.extend([*words, 0])
+            self.owner_at.extend([owner] * (len(words) + 1))
+            for at in range(0, len(words) - size + 1, stride):
+                anchors.setdefault(tuple(words[at : at + size]), []).append(start + at)
+        self.shortest = min([window, *map(len, whole)])
+        for key in [k for k, found in anchors.items() if len(found) > HOT]:
+            for at in anchors.pop(key):
+                self._windows(at, whole)
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-        for key, ids in owners.items():
-            self.automaton.add_word(key, (len(key), frozenset(ids)))
-        self.empty = not owners
-        if owners:
+        # A short item or, with a small window, a window may be an anchor too.
+        for key in anchors.keys() | whole.keys():
+            values = len(key), tuple(anchors.get(key, ())), tuple(whole.get(key, ()))
+            self.automaton.add_word(_letters(np.array(key)), values)
+        self.empty = not anchors and not whole
+        if not self.empty:
             self.automaton.make_automaton()
 
+    def _windows(self, at: int, whole: dict[tuple, set[int]]) -> None:
+        """Make patterns of the windows whose first anchor is at ``at``."""
+        for start in range(max(at - self.stride + 1, 1), at + 1):
+            key = tuple(self.words[start : start + self.window])
+            if len(key) == self.window and 0 not in key:
+                whole.setdefault(key, set()).add(self.owner_at[at])
+
+    def _around(self, numbers: list[int], at: int, place: int) -> tuple[int, int]:
+        """The stretch of the text that agrees with the item, given that the anchors at ``at`` and ``place`` do."""
+        words, low, high = self.words, at, at + self.size
+        here = place - 1
+        while low and words[here] == numbers[low - 1]:
+            low, here = low - 1, here - 1
+        here = place + self.size
+        while high < len(numbers) and words[here] == numbers[high]:
+            high, here = high + 1, here + 1
+        return low, high
+
     def scan(self, text: bytes | None) -> tuple[int, np.ndarray, set]:
         """The number of words, the hit words' positions, and the items found."""
         words = plain_words(text)
@@ -67,17 +123,31 @@ class Automaton:
         known = np.r_[0, (numbers > 0).astype(np.int8), 0]
         turns = np.flatnonzero(np.diff(known))
         starts, ends = turns[::2], turns[1::2]
-        change, found = None, set()
+        change, owners = np.zeros(len(words) + 1, np.int64), set()
         for a, b in zip(starts.tolist(), ends.tolist()):
             if b - a < self.shortest:
                 continue
-            for end, (size, ids) in self.automaton.iter(tuple(numbers[a:b].tolist())):
-                change = np.zeros(len(words) + 1, np.int64) if change is None else change
-                change[a + end - size + 1] += 1
-                change[a + end + 1] -= 1
-                found |= ids
-        hits = np.zeros(0, np.int64) if change is None else np.flatnonzero(np.cumsum(change[:-1]))
-        return len(words), hits, found
+            run = numbers[a:b].tolist()
+            # What was compared on a diagonal, by place in the items less place in the run: its end.
+            compared: dict[int, int] = {}
+            for last, (size, places, found) in self.automaton.iter(_letters(numbers[a:b])):
+                end = last // 2
+                at = end - size + 1
+                if found:
+                    change[a + at] += 1
+                    change[a + end + 1] -= 1
+                    owners.update(found)
+                for place in places:
+                    if compared.get(place - at, 0) > end:
+                        continue
+                    low, high = self._around(run, at, place)
+                    compared[place - at] = high
+                    if high - low >= self.window:
+                        change[a + low] += 1
+                        change[a + high] -= 1
+                        owners.add(self.owner_at[place])
+        hits = np.flatnonzero(np.cumsum(change[:-1])) if owners else np.zeros(0, np.int64)
+        return len(words), hits, set().union(*(self.owners[i] for i in owners))
 
 
 def places(text: bytes, hits: np.ndarray) -> list[dict]:

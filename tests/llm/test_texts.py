@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import json
+import random
 import re
 import time
 
@@ -59,6 +60,59 @@ def test_hits_are_those_of_brute_force(spark, rows, shard_bytes):
     assert ours == sorted(theirs, key=repr)
 
 
+@pytest.mark.parametrize("window", [1, 2, 3, 5, 10])
+def test_anchors_find_each_window(window):
+    """Few words, so that anchors overlap, lie at many places, and agree with several items."""
+    r = random.Random(window)
+    hot, met = 0, 0
+    for _ in range(300):
+        some = "a ab abc abcdefgh abcdefghijklmnop".split()[r.randrange(5)]
+        make = lambda n: " ".join(r.choice(some) for _ in range(n))  # noqa: E731, B023
+        items = [(r.choice([None, *"1234"]), make(r.choice([0, 1, 4, 5, 9, 10, 11, 16, 40]))) for _ in range(r.randrange(15))]
+        text = make(r.randrange(20))
+        for _, t in r.sample(items, min(3, len(items))):
+            own = plain(t)
+            start = r.randrange(len(own) + 1)
+            text += f" zz {make(r.randrange(3))} {' '.join(own[start : start + r.randrange(25)])} {make(r.randrange(2))}"
+        automaton = decontaminate.Automaton([(i, t.encode()) for i, t in items], window)
+        n, hits, found = automaton.scan(text.encode())
+        words, hit, ids = plain(text), set(), set()
+        for item, t in items:
+            own = plain(t)
+            size = min(window, len(own))
+            windows = {tuple(own[k : k + size]) for k in range(len(own) - size + 1)} if size else set()
+            for k in range(len(words) - size + 1):
+                if tuple(words[k : k + size]) in windows:
+                    hit |= set(range(k, k + size))
+                    ids.add(item)
+        assert (n, hits.tolist(), found) == (len(words), sorted(hit), ids)
+        met += bool(hit)
+        hot += any(len(v) > decontaminate.HOT for v in _places(items, automaton).values())
+    assert met > 100 and hot > 10
+
+
+def _places(items, automaton):
+    """Where each anchor is in distinct items of a window or more."""
+    found = {}
+    for t in {" ".join(plain(t)) for _, t in items}:
+        own = t.split()
+        for k in range(0, len(own) - automaton.size + 1 if len(own) >= automaton.window else 0, automaton.stride):
+            found.setdefault(tuple(own[k : k + automaton.size]), []).append((t, k))
+    return found
+
+
+def test_many_items_with_one_opening():
+    """An opening of many items is compared at none of them; a text of nothing else takes linear time."""
+    opening = "which of the following statements is true of the"
+    items = [(str(i), f"{opening} thing{i} of kind{i % 7} or none of these at all".encode()) for i in range(20_000)]
+    automaton = decontaminate.Automaton(items)
+    text = (f"{opening} " * 20_000 + f"{opening} thing77 of kind0 or").encode()
+    started = time.perf_counter()
+    n, hits, found = automaton.scan(text)
+    assert time.perf_counter() - started < 5
+    assert found == {"77"} and hits.tolist() == list(range(n - 13, n))
+
+
 def test_offsets_are_of_the_original(spark):
     text = "Über! " + LONG.upper()
     df = spark.createDataFrame([(1, text)], "doc_id long, text string")
