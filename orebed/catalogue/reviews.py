@@ -45,6 +45,20 @@ def review_summary(spark, sf_dir):
     )
 
 
+@query(
+    "distinct_users_and_businesses",
+    with_views("reviews")
+    + """SELECT 'user_id' AS field, count(DISTINCT user_id) AS n FROM reviews
+    UNION ALL SELECT 'business_id', count(DISTINCT business_id) FROM reviews""",
+)
+def distinct_users_and_businesses(spark, sf_dir):
+    reviews = view(spark, sf_dir, "reviews")
+    user, business = (
+        counts.distinct_count(reviews, f).select(F.lit(f).alias("field"), "n") for f in ("user_id", "business_id")
+    )
+    return user.unionByName(business)
+
+
 @query("top_users", with_views("reviews") + _TOP.format(key="user_id"))
 def top_users(spark, sf_dir):
     return counts.top_k(view(spark, sf_dir, "reviews"), "user_id")
