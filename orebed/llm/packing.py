@@ -215,7 +215,8 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, in
 
 def pack(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``sequence_id`` and ``offset`` for each row of ``found``, which has a ``length`` of 1 to
-    ``capacity``; all other columns stay. Offsets in a sequence have no gap from 0 on.
+    ``capacity``; all other columns stay but those whose names begin with two underscores, which are for the columns made
+    here. Offsets in a sequence have no gap from 0 on.
 
     Pieces are counted by length and group; a window numbers those of one length and group, so
     that a common length is no single task. Only counts by length come to the driver.
