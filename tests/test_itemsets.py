@@ -68,6 +68,28 @@ def test_two_phases_do_not_depend_on_chunks(b, chunks):
     assert set(found) <= {tuple(r.itemset) for r in candidates.collect()}
 
 
+def test_large_chunks_are_mined_in_parts(spark, monkeypatch):
+    draw = random.Random(11)
+    rows = [(draw.choice([None, *range(60)]), draw.choice("aaabbcdefg")) for _ in range(900)]
+    rows += [(k, None) for k in range(5)]
+    b = spark.createDataFrame(rows, "basket_id long, item string").repartition(5)
+    # Null baskets are one basket of a chunk of their own, which stays whole.
+    chunk = F.coalesce(F.col("basket_id") % 2, F.lit(2))
+    want = {tuple(r.itemset) for r in itemsets.son_candidates(b, 25, chunk=chunk).collect()}
+    sizes, mined = [], itemsets.mine
+    monkeypatch.setattr(itemsets, "CHUNK_ROWS", 60)
+
+    def seen(rows, *args):
+        keys = [c for c in ("chunk", "part") if c in rows.columns]
+        sizes.extend(rows.groupBy(*keys).count().collect())
+        return mined(rows, *args)
+
+    monkeypatch.setattr(itemsets, "mine", seen)
+    got = [tuple(r.itemset) for r in itemsets.son_candidates(b, 25, chunk=chunk).collect()]
+    assert sorted(got) == sorted(want) and len(want) > 10
+    assert max(r["count"] for r in sizes) <= 120
+
+
 def test_local_threshold_and_repeated_singles(spark):
     # chunk 0 holds 2 of 4 baskets: support 4 needs 2 there
     rows = [(0, "x"), (0, "x"), (2, "y"), (1, "y"), (3, "z")]
