@@ -133,3 +133,38 @@ def test_steps_and_shares_by_level_and_node(spark):
     model = boosting.fit(frame(spark, x, y), features=FEATURES, **{**P, "most_step": 0.1, "level_share": 0.7, "node_share": 0.5})
     assert max(abs(v) for t in model.trees for v in t.value) <= 0.1 * P["learning_rate"] + 1e-12
     assert any(len(t.feature) > 1 for t in model.trees)
+
+
+def test_small_trees_are_walked_node_by_node(monkeypatch):
+    """Both ways through a tree lead to the same leaves, NaN goes right, and bins are read from a slice in place."""
+    import pyarrow as pa
+
+    tree = boosting.Tree()
+    left, right = tree.grow(0, 1, 0.5, (1.0, 2.0))
+    tree.grow(left, 0, 3.0, (3.0, 4.0))
+    tree.grow(right, 2, 0.0, (5.0, 6.0))
+    x, _ = data()
+    x[::7, 1] = np.nan
+    few = tree.nodes(x)
+    monkeypatch.setattr(boosting, "SMALL_TREE", 0)
+    assert (few == tree.nodes(x)).all() and set(few) == {3, 4, 5, 6}
+    assert len(tree.nodes(x[:0])) == 0
+    bins = pa.array([bytes([i, 2 * i, 255 - i]) for i in range(9)], pa.binary())
+    codes = boosting._codes(bins.slice(2, 5), 3)
+    assert codes.tolist() == [[i, 2 * i, 255 - i] for i in range(2, 7)] and codes[:, 1].flags.c_contiguous
+    assert boosting._codes(bins.slice(0, 0), 3).shape == (0, 3)
+
+
+def test_rows_that_do_not_count_go_through_no_tree(spark):
+    """Only the rows of the sample are looked at: the sums are those of the sampled rows."""
+    x, y = data()
+    rows = boosting.binned(frame(spark, x, y), FEATURES, [np.unique(x[:, i]) for i in range(3)], "stars")
+    tree = boosting.Tree()
+    tree.grow(0, 2, 0.0, (0.5, -0.5))
+    got = boosting.histogram(rows, 1.0, [tree], boosting.Tree(), [0], [0], 3, (1, 0.5)).toPandas()
+    local = rows.toPandas()
+    kept = boosting._sampled(local["row"].to_numpy(), 1, 0.5)
+    codes = np.array([list(b) for b in local["bins"]])[kept]
+    g = 1.0 + np.where(codes[:, 2] <= 0, 0.5, -0.5) - local["y"].to_numpy()[kept]
+    want = {b: (g[codes[:, 0] == b].sum(), float((codes[:, 0] == b).sum())) for b in set(codes[:, 0].tolist())}
+    assert {int(r.bin): (r.g, r.h) for r in got.itertuples()} == {b: pytest.approx(v) for b, v in want.items()}
