@@ -1,15 +1,19 @@
 """Shared by the text operators: Arrow passes over whole texts, word splitting,
-bounded samples for training, and broadcast models."""
+shards and bounded samples for training, and broadcast models."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orebed.session import stage, staging
+
 #: Bytes of text that one call of a scoring function gets; a longer text comes alone.
 CHUNK_BYTES = 4_000_000
 
@@ -148,6 +152,42 @@ def label_counts(labels: DataFrame, label: str, of: int, held_out: int) -> dict[
     return dict(allowed.groupBy(F.col("__label").cast("int")).count().collect())
 
 
+@contextmanager
+def labelled_shards(
+    documents: DataFrame,
+    labels: DataFrame,
+    label: str,
+    of: int,
+    held_out: int,
+    per_shard: int,
+    max_bytes: int,
+    lang: bool = False,
+) -> Iterator[DataFrame]:
+    """``__words, __label, __lang, __shard`` of all labelled documents, written until the end, the rows of a shard one after the other.
+    ``__words`` are the plain words of a text with spaces between.
+
+    Rows whose crc32(doc_id) modulo ``of`` is ``held_out`` are never read. Documents are dealt by id to as many
+    shards as ``per_shard`` documents and ``max_bytes`` of text on average need, and ordered there by the id's hash, so that
+    neither depends on the partitioning. Only ids and lengths, then the words, are shuffled, once each.
+    """
+    allowed = allowed_labels(labels, label, of, held_out).withColumn("__label", F.col("__label").cast("int")).distinct()
+    language = F.col("lang") if lang and "lang" in documents.columns else F.lit(None).cast("string")
+    there = F.col("doc_id").isNotNull() & F.col("text").isNotNull() & (remainder("doc_id", of) != held_out)
+    texts = documents.where(there).select("doc_id", language.alias("__lang"), F.col("text"))
+    sizes = texts.select("doc_id", F.length(F.col("text").cast("binary")).alias("__size")).join(allowed, "doc_id")
+    n, size = sizes.agg(F.count(F.lit(1)), F.sum("__size")).first()
+    shards = max(1, math.ceil(max(n / per_shard, (size or 0) / max_bytes)))
+    words = per_text(texts, ["doc_id", "__lang"], "text", ["__words binary"], lambda: lambda t: [[b" ".join(plain_words(x)) for x in t]])
+    # Stacked, texts and labels meet after one shuffle by shard, which a join need not keep to.
+    stacked = words.withColumn("__label", F.lit(None).cast("int")).unionByName(allowed, allowMissingColumns=True)
+    found = F.collect_set("__label").over(Window.partitionBy("doc_id"))
+    rows = stacked.repartition(shards, "doc_id").withColumn("__found", found).where(F.col("__words").isNotNull())
+    rows = rows.withColumn("__label", F.explode("__found"))
+    rows = rows.sortWithinPartitions(F.xxhash64("doc_id"), "__words", "__label", F.col("__lang").asc_nulls_last())
+    with staging(documents.sparkSession):
+        yield stage(rows.select("__words", "__label", "__lang", F.spark_partition_id().alias("__shard")), compression="zstd")
+
+
 def labelled_texts(
     documents: DataFrame,
     labels: DataFrame,

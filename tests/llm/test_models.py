@@ -177,3 +177,49 @@ def test_sample_is_bounded_before_texts_are_fetched(spark):
     sample = common.bounded(rows, 1_000_000)
     assert len(sample) == 3 and all(len(t) == 300_000 for (t,) in sample)
     assert len(common.bounded(rows, 10)) == 1 and common.bounded(rows.limit(0), 10) == []
+
+
+def labelled(spark, n, word_of):
+    rng = np.random.default_rng(n)
+    rows = [(i, " ".join(rng.choice(["the", "of", "and", "house", "tree", "sea"], 30)), int(rng.random() < 0.4), "en") for i in range(n)]
+    rows = [(i, f"{t} {word_of(i)}" if y else t, lang, y) for i, t, y, lang in rows]
+    docs = spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, lang string")
+    return docs, spark.createDataFrame([(r[0], r[3]) for r in rows], "doc_id long, toxic int"), rows
+
+
+def test_toxicity_learns_from_all_labelled_texts(spark):
+    """Every word of abuse is in a few texts only, over many shards."""
+    docs, labels, rows = labelled(spark, 3_000, lambda i: f"{chr(97 + i % 20) * 3}{chr(97 + i // 20 % 10) * 3}")
+    model = toxicity.fit(docs, labels, per_class=100)
+    learned = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5 != 0]
+    scores = model.score([toxicity.plain_words(r[1].encode()) for r in learned])
+    assert ((scores >= 0.5) == np.array([r[3] for r in learned])).mean() > 0.99
+
+
+def test_one_shard_is_the_plain_classifier(spark):
+    docs, labels, _ = labelled(spark, 300, lambda i: f"scoundrel{i % 9}")
+    sample = common.labelled_texts(docs, labels, "toxic", 5, 0, 4_000, 40_000_000, lang=True)
+    plain, found = toxicity.learn(sample, common.label_counts(labels, "toxic", 5, 0)), toxicity.fit(docs, labels)
+    # Products of small matrices are rounded otherwise where numpy has other threads.
+    assert np.abs(plain.state() - found.state()).max() < 1e-4 and np.array_equal(plain.lang_table, found.lang_table)
+    assert np.allclose(plain.thresholds, found.thresholds, atol=1e-3)
+
+
+def test_cuts_over_partitions_are_the_plain_ones(spark):
+    rng = np.random.default_rng(5)
+    for top in (0, 3, 1000):
+        lang, z, y = rng.integers(0, 3, 600), rng.integers(0, top + 1, 600) / 4, rng.integers(0, 2, 600)
+        y = np.where(z > top / 6, y, 0) if top else y
+        rows = spark.createDataFrame(list(zip(lang.tolist(), z.tolist(), y.tolist())), "lang int, z double, y int")
+        counted = rows.groupBy("lang", "z").agg(F.sum(1 - F.col("y")).alias("n0"), F.sum("y").alias("n1"))
+        cuts = toxicity.best_cuts(counted.repartitionByRange(7, "lang", "z").sortWithinPartitions("lang", "z"), [1.0, 2.0])
+        for i in range(3):
+            mine = lang == i
+            assert cuts[i] == (toxicity._threshold(z[mine], y[mine], 1.0 + y[mine]), min(y[mine].sum(), (1 - y[mine]).sum()))
+
+
+def test_toxicity_knows_languages_of_few_texts(spark):
+    docs, labels, _ = labelled(spark, 300, lambda i: "scoundrel")
+    docs = docs.withColumn("lang", F.concat(F.lit("l"), F.col("doc_id") % 60))
+    # A language may have all its texts in the quarter for the thresholds.
+    assert len(toxicity.fit(docs, labels, per_class=5).langs) > 50
